@@ -68,69 +68,57 @@ def _tagged(h, length, tag):
 
 
 def _occurrences(batches):
+    """(doc, line, h, keys): every line's hash, and the keys of its halves where it is long enough.
+
+    A task gives the keys of a line that it remembers once.
+    """
     import pyarrow as pa
 
+    seen: set[int] = set()
     for batch in batches:
         data, offsets = packed(batch.column(1))
         for lo, hi in row_chunks(offsets):
             points, heads = _code_points(data, offsets, lo, hi)
             start, end, row, number = _line_spans(points, heads)
-            size = end - start
-            h = _signed(_tagged(slice_hash(_sums(points), start, end), size, 0))
+            size, sums = end - start, _sums(points)
+            h = _signed(_tagged(slice_hash(sums, start, end), size, 0))
+            new = size >= MIN_CHARS
+            for k in np.flatnonzero(new).tolist():
+                x = int(h[k])
+                if x in seen:
+                    new[k] = False
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(x)
+            keys = np.empty((int(new.sum()), 4), dtype=np.uint64)
+            for shorter in (0, 1):  # as the line of n characters, and as the longer of n and n + 1
+                n = size[new] - shorter
+                cut = n // 2
+                keys[:, 2 * shorter] = _tagged(slice_hash(sums, start[new], start[new] + cut), n, 1)
+                keys[:, 2 * shorter + 1] = _tagged(slice_hash(sums, end[new] - (n - cut), end[new]), n, 2)
+            lists = np.concatenate([[0], np.cumsum(4 * new)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(lo, hi - lo).take(pa.array(row)),
                     pa.array(number.astype(np.int32)),
                     pa.array(h),
-                    pa.array(size),
+                    pa.ListArray.from_arrays(pa.array(lists), pa.array(_signed(keys.ravel()))),
                 ],
-                names=["doc", "line", "h", "size"],
-            )
-
-
-def _halves(batches):
-    """Keys of the halves of every line long enough; a task emits a line it remembers once."""
-    import pyarrow as pa
-
-    seen = set()
-    for batch in batches:
-        data, offsets = packed(batch.column(0))
-        for lo, hi in row_chunks(offsets):
-            points, heads = _code_points(data, offsets, lo, hi)
-            start, end, _, _ = _line_spans(points, heads)
-            long = end - start >= MIN_CHARS
-            start, end = start[long], end[long]
-            size = end - start
-            sums = _sums(points)
-            h = _signed(_tagged(slice_hash(sums, start, end), size, 0))
-            new = np.zeros(len(h), dtype=bool)
-            for k, x in enumerate(h.tolist()):
-                if x not in seen:
-                    new[k] = True
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(x)
-            start, end, size, h = start[new], end[new], size[new], h[new]
-            keys = []
-            for shorter in (0, 1):  # as the line of n characters, and as the longer of n and n + 1
-                n = size - shorter
-                cut = n // 2
-                keys.append(_tagged(slice_hash(sums, start, start + cut), n, 1))
-                keys.append(_tagged(slice_hash(sums, end - (n - cut), end), n, 2))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_signed(np.concatenate(keys))), pa.array(np.tile(h, 4))], names=["key", "h"]
+                names=["doc", "line", "h", "keys"],
             )
 
 
 def _variants(batches):
-    """Hashed keys of the deletion neighbourhood: (key, h, doc, line, own) for each line."""
+    """Hashed keys of the deletion neighbourhood: (key, h, own) for each line (h, text)."""
     import pyarrow as pa
 
     for batch in batches:
-        data, offsets = packed(batch.column(3))
-        h, doc, line = batch.column(0), batch.column(1), batch.column(2)
+        data, offsets = packed(batch.column(1))
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
         for lo, hi in row_chunks(offsets, 1 << 15):
             points, heads = _code_points(data, offsets, lo, hi)
+            made = []
             for k in range(lo, hi):
                 codes = points[heads[k - lo] : heads[k - lo + 1]]
                 n = len(codes)
@@ -146,11 +134,10 @@ def _variants(batches):
                 keys = _signed(np.concatenate([swap, drop, self_key]))
                 own = np.zeros(len(keys), dtype=bool)
                 own[-1] = True
-                take = pa.array(np.full(len(keys), k))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), h.take(take), doc.take(take), line.take(take), pa.array(own)],
-                    names=["key", "h", "doc", "line", "own"],
-                )
+                made.append((keys, np.full(len(keys), ids[k]), own))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x)) for x in zip(*made, strict=True)], names=["key", "h", "own"]
+            )
 
 
 def _texts(batches):
@@ -185,11 +172,11 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema["doc"].dataType.simpleString()
-    occ = written(docs.mapInArrow(_occurrences, f"doc {kind}, line int, h long, size long"), "occurrences")
+    occ = written(docs.mapInArrow(_occurrences, f"doc {kind}, line int, h long, keys array<long>"), "occurrences")
     place = F.struct("doc", "line")
-    first = occ.groupBy("h", "size").agg(F.min(place).alias("first"))
+    first = occ.groupBy("h").agg(F.min(place).alias("first"))
 
-    halves = docs.select("text").mapInArrow(_halves, "key long, h long")
+    halves = occ.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "h")
     several = halves.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key")
     flagged = halves.join(several, "key", "left_semi").select("h").distinct()
     first = written(
@@ -203,7 +190,7 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         spots.join(texts, F.col("doc").eqNullSafe(F.col("d")) & (F.col("line") == F.col("l"))).select("h", "doc", "line", "text"),
         "texts",
     )
-    near = _near_lines(texts, kind)
+    near = _near_lines(texts)
     marked = (
         occ.join(first.select("h", "first"), "h")
         .join(near.withColumn("near", F.lit(True)), "h", "left")
@@ -218,32 +205,22 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return marked
 
 
-def _near_lines(texts: DataFrame, kind: str) -> DataFrame:
+def _near_lines(texts: DataFrame) -> DataFrame:
     """(h) of the lines that stand within one edit after another line of ``texts`` (h, doc, line, text)."""
-    keys = texts.mapInArrow(_variants, f"key long, h long, doc {kind}, line int, own boolean")
+    keys = texts.select("h", "text").mapInArrow(_variants, "key long, h long, own boolean")
+    equal = keys.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key")
+    keys = written(keys.join(equal, "key", "left_semi"), "variants").join(texts.select("h", "doc", "line"), "h")
     spot = F.struct("doc", "line", "h")
-    groups = (
-        keys.groupBy("key")
-        .agg(
-            F.min(spot).alias("early"),
-            F.min(F.when(F.col("own"), spot)).alias("own_spot"),
-            F.min(F.when(~F.col("own"), spot)).alias("other"),
-            F.min("h").alias("lo"),
-            F.max("h").alias("hi"),
-        )
-        .where("lo <> hi")
+    groups = keys.groupBy("key").agg(
+        F.min(spot).alias("early"),
+        F.min(F.when(F.col("own"), spot)).alias("own_spot"),
+        F.min(F.when(~F.col("own"), spot)).alias("other"),
     )
     # Of lines that differ at one position all are within one edit of the earliest. Of a line and
     # those that delete to it, each longer one is compared with the line, and the line with the
     # earliest longer one. So one witness for each line and key is enough.
-    pairs = keys.join(groups.select("key", "early", "own_spot", "other"), "key").select(
-        "h",
-        F.struct("doc", "line", "h").alias("spot"),
-        F.when(F.col("own"), F.col("other"))
-        .when(F.col("own_spot").isNotNull(), F.col("own_spot"))
-        .otherwise(F.col("early"))
-        .alias("witness"),
-    )
+    witness = F.when(F.col("own"), F.col("other")).when(F.col("own_spot").isNotNull(), F.col("own_spot")).otherwise(F.col("early"))
+    pairs = keys.join(groups, "key").select("h", spot.alias("spot"), witness.alias("witness"))
     pairs = pairs.where("witness is not null and witness < spot").select("h", F.col("witness.h").alias("w")).distinct()
     mine = texts.select("h", F.col("text").alias("x"))
     theirs = texts.select(F.col("h").alias("w"), F.col("text").alias("y"))
