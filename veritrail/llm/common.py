@@ -41,6 +41,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that are broadcast at most.
+BROADCAST_ROWS = 1 << 20
+
+
+def bounded(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table, marked for broadcast if it has at most ``rows`` rows; else joins shuffle it."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def dropped(*tables: DataFrame) -> None:
     """Delete tables made by :func:`written` that no result reads any more."""
     for df in tables:

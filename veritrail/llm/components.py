@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, written
+from .common import bounded, dropped, written
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -21,16 +21,17 @@ def connected_components(links: DataFrame) -> DataFrame:
         "labels",
     )
     while True:
+        known = bounded(labels)
         near = (
-            both.join(labels, both.v == labels.node)
+            both.join(known, F.col("v") == F.col("node"))
             .groupBy("u")
             .agg(F.min("label").alias("m"))
-            .join(labels, F.col("u") == labels.node)
+            .join(known, F.col("u") == F.col("node"))
             .select("node", "label", F.least("label", "m").alias("step"))
         )
-        up = labels.select(F.col("node").alias("at"), F.col("label").alias("jump"))
+        up = bounded(labels.select(F.col("node").alias("at"), F.col("label").alias("jump")))
         new = written(
-            near.join(up, near.step == up["at"], "left").select(
+            near.join(up, F.col("step") == F.col("at"), "left").select(
                 "node", F.least("step", "jump").alias("label"), F.col("label").alias("was")
             ),
             "labels",

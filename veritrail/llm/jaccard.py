@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, NOT_SPACE, dropped, mix, packed, prefix_hash, row_chunks, slice_hash, word_spans, written
+from .common import BYTE_CODES, NOT_SPACE, bounded, mix, packed, prefix_hash, row_chunks, slice_hash, word_spans, written
 from .components import connected_components
 
 #: Counters of the shingle frequency sketch (a power of two): 4 MB for each task, whatever the input.
@@ -27,6 +27,10 @@ SKETCH = 1 << 20
 BLOCK = 1 << 14
 #: Signatures that a task remembers, so that copies emit their keys once a task.
 SEEN = 1 << 18
+#: A prefix is longer by one key for so many shingles, and linked documents share more keys by that.
+MORE = 50
+#: Longs of a set's parity bits: where two sets differ in so many, they differ in as many shingles.
+PARITY = 16
 
 
 def shingle_sets(data, offsets, lo, hi, words):
@@ -128,7 +132,7 @@ def _keys(words, num, den, classes):
                 size, sig = _signatures(row, g, rows)
                 order = np.lexsort((g, rank[(g >> np.uint64(44)).astype(np.int64)], row))
                 place = np.arange(len(g)) - np.searchsorted(row, np.arange(rows))[row]
-                prefix = size - (size * num + den - 1) // den + 1
+                prefix = size - (size * num + den - 1) // den + 1 + size // MORE
                 new = np.zeros(rows, dtype=bool)
                 for k, s in enumerate(sig.tolist()):
                     if s not in seen:
@@ -154,23 +158,30 @@ def _keys(words, num, den, classes):
 
 
 def _packed_sets(words):
+    """(sig, grams) of rows (sig, text) whose text has that signature, or any where sig is null."""
+
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             data, offsets = packed(batch.column(1))
-            want = batch.column(0).to_numpy(zero_copy_only=False)
+            free = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            want = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             for lo, hi in row_chunks(offsets):
                 row, g = shingle_sets(data, offsets, lo, hi, words)
                 size, sig = _signatures(row, g, hi - lo)
                 heads = np.concatenate([[0], np.cumsum(size)])
-                hit = np.flatnonzero((sig == want[lo:hi]) & (size > 0))
+                hit = np.flatnonzero(((sig == want[lo:hi]) | free[lo:hi]) & (size > 0))
+                odd = np.zeros((hi - lo, 64 * PARITY), dtype=np.uint8)
+                np.bitwise_xor.at(odd, (row, (g & np.uint64(64 * PARITY - 1)).astype(np.int64)), 1)
+                longs = np.packbits(odd[hit], axis=1).view(np.int64).reshape(len(hit), PARITY)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(sig[hit]),
                         pa.array([g[heads[k] : heads[k + 1]].tobytes() for k in hit], pa.binary()),
+                        *[pa.array(np.ascontiguousarray(longs[:, j])) for j in range(PARITY)],
                     ],
-                    names=["sig", "grams"],
+                    names=["sig", "grams", *[f"b{j}" for j in range(PARITY)]],
                 )
 
     return run
@@ -197,10 +208,16 @@ def _shared(batches):
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, common, total): sizes of the intersection and union of every pair's sets."""
+    """(a, b, common, total): sizes of the intersection and union of every pair's sets.
+
+    A bounded number of pairs picks the sets where they lie; more are joined by shuffles.
+    """
+    pairs = written(pairs.select("a", "b"), "pairs")
+    some = bounded(pairs)
     one = sets.select(F.col("sig").alias("a"), F.col("grams").alias("left"))
     two = sets.select(F.col("sig").alias("b"), F.col("grams").alias("right"))
-    rows = pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right")
+    partners = bounded(written(pairs.select("b").distinct(), "partners"))
+    rows = one.join(some, "a").join(two.join(partners, "b", "left_semi"), "b").select("a", "b", "left", "right")
     return rows.mapInArrow(_shared, "a long, b long, common long, total long")
 
 
@@ -220,19 +237,26 @@ def shingle_classes(
     classes = spark.sparkContext.broadcast(frequency_classes(docs, "text", words))
     table = written(docs.mapInArrow(_keys(words, num, den, classes), f"doc {kind}, n long, sig long, keys array<long>"), "keys")
     rows = table.select(F.explode("keys").alias("key"), "sig", "n")
-    several = rows.groupBy("key").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi").select("key")
-    members = written(rows.join(several, "key", "left_semi").distinct(), "members")
+    members = _shared_keys(rows)
+    # The smallest partner has this many shingles, and shares at least as many keys as its prefix
+    # is longer than the plain one; whoever shares fewer with all others together links with none.
+    least = F.floor(F.ceil(F.col("n") * num / den) / MORE) + 1
+    enough = members.groupBy("sig", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= least).select("sig")
+    members = _shared_keys(written(members.join(bounded(written(enough, "enough")), "sig", "left_semi"), "members"))
+    # regions of the same members are one
+    alike = members.groupBy("key").agg(F.bit_xor(F.xxhash64("sig")).alias("x"), F.sum("n").alias("y"), F.count("*").alias("z"))
+    alike = alike.groupBy("x", "y", "z").agg(F.min("key").alias("key"))
+    members = written(members.join(bounded(written(alike.select("key"), "regions")), "key", "left_semi"), "members")
 
     nodes = members.select("sig").distinct()
     spoken = table.where("n > 0").groupBy("sig").agg(F.min("doc").alias("doc")).join(nodes, "sig", "left_semi")
-    wanted = spoken.select(F.col("doc").alias("rep"), "sig")
-    sets = written(
-        docs.join(wanted, F.col("doc").eqNullSafe(F.col("rep")))
-        .select("sig", "text")
-        .mapInArrow(_packed_sets(words), "sig long, grams binary")
-        .dropDuplicates(["sig"]),
-        "sets",
-    )
+    spoken = written(spoken, "spoken")
+    wanted = bounded(spoken.where("doc is not null").select(F.col("doc").alias("rep"), "sig"))
+    kind = "sig long, grams binary, " + ", ".join(f"b{j} long" for j in range(PARITY))
+    named = docs.join(wanted, F.col("doc") == F.col("rep")).select("sig", "text").mapInArrow(_packed_sets(words), kind)
+    unnamed = docs.where("doc is null").select(F.lit(None).cast("long").alias("sig"), "text").mapInArrow(_packed_sets(words), kind)
+    unnamed = unnamed.join(spoken.where("doc is null").select("sig"), "sig", "left_semi").dropDuplicates(["sig"])
+    sets = written(named.union(unnamed), "sets")
     labels = _classes(members, sets, num, den)
 
     ids = table.select("doc", "n", "sig")
@@ -249,62 +273,98 @@ def shingle_classes(
     )
 
 
+def _shared_keys(rows: DataFrame) -> DataFrame:
+    """Of (key, sig, n) the different rows whose key more than one signature holds, as a table."""
+    several = rows.groupBy("key").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi").select("key")
+    return written(rows.join(several, "key", "left_semi").distinct(), "shared")
+
+
 def _classes(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(node, label) of every linked document, by rounds of pivots over the regions of ``members``."""
     far = 1 - num / den + 1e-9
-    fits = den * F.least("n", "pn") >= num * F.greatest("n", "pn")
-    links, slots = None, 1
-    while True:
+    linked = den * F.col("common") >= num * F.col("total")
+    bits = [f"b{j}" for j in range(PARITY)]
+    marks = written(sets.select("sig", *bits), "marks")
+    fits = den * F.least("m.n", "l.n") >= num * F.greatest("m.n", "l.n")
+    # at least so many shingles are in one of the two sets only
+    apart = sum((F.bit_count(F.col(f"m.{b}").bitwiseXOR(F.col(f"l.{b}"))) for b in bits), F.lit(0))
+    close = (den + num) * apart <= (den - num) * (F.col("m.n") + F.col("l.n"))
+
+    # First round: one pivot a region, which every member is compared with, unless sizes or parity
+    # bits already tell them apart.
+    first = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("sig").alias("o"), F.col("sig").alias("p"), "n")).alias("x"))
+    lead = written(first.select("key", F.col("x.p").alias("sig"), "x.n"), "pivots")
+    stars = members.join(bounded(marks), "sig").alias("m").join(lead.join(bounded(marks), "sig").alias("l"), F.col("m.key") == F.col("l.key"))
+    total = F.col("m.n") + F.col("l.n")
+    least = F.greatest(1 - F.least("m.n", "l.n") / F.greatest("m.n", "l.n"), 2 * apart / (total + apart))
+    stars = written(
+        stars.select("m.key", "m.sig", F.col("l.sig").alias("p"), (fits & close).alias("near"), least.alias("least")), "stars"
+    )
+    seen = written(compared(stars.where("near and sig <> p").select(F.col("sig").alias("a"), F.col("p").alias("b")).distinct(), sets), "compared")
+    labels = connected_components(seen.where(linked).select("a", "b"))
+    placed = _placed(members, labels)
+    # Distance of every member to its region's pivot, or its lower bound. A pivot is done. A document
+    # in its ball is done too, unless one outside may still reach it by the triangle inequality:
+    # such boundary documents stay in the region.
+    known = seen.select(F.col("a").alias("sig"), F.col("b").alias("p"), (1 - F.col("common") / F.col("total")).alias("d"))
+    tagged = stars.join(known, ["sig", "p"], "left")
+    inside = F.col("d").isNotNull() & (F.col("d") <= far)
+    reach = tagged.where(~inside & (F.col("sig") != F.col("p"))).groupBy("key").agg(F.min(F.coalesce("d", "least")).alias("reach"))
+    settled = (
+        tagged.join(reach, "key", "left")
+        .where((F.col("sig") == F.col("p")) | (inside & (F.col("reach").isNull() | (F.col("reach") - F.col("d") > far))))
+        .select("key", "sig")
+    )
+    members = _mixed(placed.join(settled, ["key", "sig"], "left_anti"))
+
+    # Next rounds: pivots are the members outside a region's largest class. Each is compared with the
+    # nearest member of every other class by the parity bits, then, where that did not join the
+    # classes, with all others that the bits do not rule out.
+    slots = 16
+    while members.limit(1).count():
+        held = members.groupBy("key", "label").agg(F.count("*").alias("held"))
+        top = held.groupBy("key").agg(F.max(F.struct("held", "label")).alias("t")).select("key", F.col("t.label").alias("top"))
         slot = F.pmod(F.xxhash64(F.lit("slot"), "sig"), F.lit(slots))
-        lead = (
-            members.withColumn("slot", slot)
-            .groupBy("key", "slot")
-            .agg(F.min(F.struct(F.xxhash64("sig").alias("o"), F.col("sig").alias("p"), F.col("n").alias("pn"))).alias("x"))
-            .select("key", "x.p", "x.pn")
-        )
-        spread = members.join(lead, "key").where("sig <> p")
-        pairs = spread.where(fits).select(F.least("sig", "p").alias("a"), F.greatest("sig", "p").alias("b")).distinct()
-        seen = written(compared(pairs, sets), "compared")
-        found = seen.where(den * F.col("common") >= num * F.col("total")).select("a", "b")
-        links = found if links is None else links.union(found)
-        labels = connected_components(links)
-        placed = members.join(labels.withColumnRenamed("node", "sig"), "sig", "left").select("key", "sig", "n", F.coalesce("label", "sig").alias("label"))
-        mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-        placed = written(placed.join(mixed.select("key"), "key", "left_semi"), "placed")
-        if placed.limit(1).count() == 0:
-            return labels
-        # distance of every member to its region's pivots; unknown ones by the sizes alone
-        near = seen.select("a", "b", (1 - F.col("common") / F.col("total")).alias("d"))
-        tagged = (
-            placed.join(lead, "key")
-            .withColumns({"a": F.least("sig", "p"), "b": F.greatest("sig", "p")})
-            .join(near, ["a", "b"], "left")
-            .withColumn("d", F.when(F.col("sig") == F.col("p"), 0.0).otherwise(
-                F.coalesce("d", 1 - F.least("n", "pn") / F.greatest("n", "pn"))))
-        )
-        # a document linked to a pivot stays only where one of another class could still reach it
-        ball = tagged.where(F.col("d") <= far).select("key", "sig", "p", "d")
-        pivots = placed.select("sig", "label").distinct()
-        outside = (
-            tagged.where(F.col("d") > far)
-            .join(pivots.select(F.col("sig").alias("p"), F.col("label").alias("pl")), "p")
-            .where("label <> pl")
-            .groupBy("key", "p")
-            .agg(F.min("d").alias("reach"))
+        order = F.struct(F.xxhash64("sig").alias("o"), "sig", "n", "label")
+        lead = members.join(top, "key").where("label <> top").groupBy("key", slot.alias("slot")).agg(F.min(order).alias("x"))
+        lead = written(lead.select("key", "x.sig", "x.n", "x.label"), "pivots")
+        spread = members.join(bounded(marks), "sig").alias("m").join(
+            lead.join(bounded(marks), "sig").alias("l"),
+            (F.col("m.key") == F.col("l.key")) & (F.col("m.label") != F.col("l.label")) & fits & close,
         )
-        settled = (
-            ball.join(outside, ["key", "p"], "left")
-            .where(F.col("reach").isNull() | (F.col("reach") - F.col("d") > far) | (F.col("sig") == F.col("p")))
-            .select("key", "sig")
-            .distinct()
+        spread = written(
+            spread.select(F.col("m.sig").alias("a"), F.col("l.sig").alias("b"), F.col("m.label").alias("other"), apart.alias("gap")).distinct(),
+            "spread",
         )
-        rest = placed.join(settled, ["key", "sig"], "left_anti")
-        mixed = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-        left = written(rest.join(mixed.select("key"), "key", "left_semi").select("key", "sig", "n"), "members")
-        dropped(placed)
-        members, slots = left, min(slots * 16, 4096) if slots < 16 else slots * 2
-        if members.limit(1).count() == 0:
-            return labels
+        nearest = spread.groupBy("b", "other").agg(F.min(F.struct("gap", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
+        labels = _joined(labels, compared(nearest.distinct(), sets).where(linked))
+        name = bounded(labels)
+        left, right = (name.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
+        rest = spread.select("a", "b").distinct().join(left, "a", "left").join(right, "b", "left")
+        rest = rest.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+        labels = _joined(labels, compared(rest.join(nearest, ["a", "b"], "left_anti"), sets).where(linked))
+        done = lead.select("key", "sig")
+        members = _mixed(_placed(members.join(done, ["key", "sig"], "left_anti"), labels))
+        slots *= 4
+    return labels
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes after more links."""
+    star = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return connected_components(links.select("a", "b").union(star))
+
+
+def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members with their present class."""
+    found = members.select("key", "sig", "n").join(bounded(labels.withColumnRenamed("node", "sig")), "sig", "left")
+    return written(found.select("key", "sig", "n", F.coalesce("label", "sig").alias("label")), "placed")
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The regions that hold more than one class, as a table."""
+    mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    return written(placed.join(mixed.select("key"), "key", "left_semi"), "members")
 
 
 #: The same classes in DuckDB: pairs that share a shingle are counted, then labels spread.
