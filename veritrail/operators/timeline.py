@@ -56,7 +56,7 @@ def facts(jobs: DataFrame, as_of) -> DataFrame:
     per = rows.groupBy("submission_id").agg(
         F.count("a").alias("n_spans"),
         F.coalesce(F.sum("fresh"), F.lit(0)).alias("union_months"),
-        F.max(F.least("reached", "b") - F.col("a")).alias("overlap"),
+        F.max(F.when(F.col("reached").isNotNull(), F.least("reached", "b") - F.col("a"))).alias("overlap"),
         F.max(F.col("a") - F.col("reached")).alias("gap"),
         F.max("short").alias("shortfall"),
         F.count_if("now").alias("n_current"),
