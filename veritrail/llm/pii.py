@@ -169,7 +169,8 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Counts of the base kinds, the hash of their spans, and all spans as text."""
     named = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
-    count = {f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long") for k in BASE}
+    of = lambda kind: lambda s: s["kind"] == kind
+    count = {f"n_{k}": F.size(F.filter("spans", of(k))).cast("long") for k in BASE}
     return found.withColumns(count).select(
         id_col,
         *count,
