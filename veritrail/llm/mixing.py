@@ -113,18 +113,22 @@ def land(share: list[float], size: list[float], due: float) -> None:
 
 
 def _flight(last):
-    def run(key, frame):
-        frame = frame.sort_values(["size", "doc", "tie"], ascending=[False, True, True], kind="stable", na_position="first").reset_index(drop=True)
+    def run(key, table):
+        import pyarrow as pa
+
+        doc, tie, size = (table.column(c).to_pylist() for c in ("doc", "tie", "size"))
+        share = table.column("share").to_pylist()
+        order = sorted(range(len(size)), key=lambda k: (-size[k], doc[k] is not None, doc[k] if doc[k] is not None else 0, tie[k]))
         # those kept for the landing spread over the sizes, so their sums come near any total
-        spread = {k * len(frame) // LANDING for k in range(LANDING)}
-        frame = frame.iloc[sorted(range(len(frame)), key=lambda k: k in spread)].reset_index(drop=True)
-        share, size = frame["share"].tolist(), frame["size"].astype(float).tolist()
-        fly(share, size, (str(key), last))
+        spread = {k * len(order) // LANDING for k in range(LANDING)}
+        order = [k for i, k in enumerate(order) if i not in spread] + [k for i, k in enumerate(order) if i in spread]
+        share, size = [share[k] for k in order], [float(size[k]) for k in order]
+        fly(share, size, (repr([k.as_py() for k in key]), last))
         if last:
             due = sum(s * x for s, x in zip(share, size, strict=True) if _EPS < s < 1 - _EPS)
             land(share, size, due)
-        frame["share"] = share
-        return frame[["source", "doc", "tie", "size", "share"]]
+        table = table.select(["source", "doc", "tie", "size"]).take(pa.array(order))
+        return table.append_column("share", pa.array(share, pa.float64()))
 
     return run
 
@@ -166,7 +170,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         last = chunks <= 1
         chunk = F.lit(0) if last else F.pmod(F.xxhash64("doc", "size"), F.col("chunks"))
         out = written(
-            flying.withColumn("chunk", chunk.cast("long")).groupBy("source", "chunk").applyInPandas(_flight(last), schema), "flight"
+            flying.withColumn("chunk", chunk.cast("long")).groupBy("source", "chunk").applyInArrow(_flight(last), schema), "flight"
         )
         whole = out.where("share <= 0.0 or share >= 1.0")
         settled = whole if settled is None else settled.union(whole)
