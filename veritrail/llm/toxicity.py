@@ -254,9 +254,14 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> dict:
     rows = _apart(texts, labels)
     toxic, clean = Counter(), Counter()
     n_toxic = n_clean = 0
-    sentences = {k: [_tokens(s) for s in _SENTENCE.findall(texts[k])] for k in rows}
-    for k in rows:
-        held = {t for s in sentences[k] for t in s}
+    by_stem = [Counter(), Counter()]
+    said: Counter = Counter()
+    for k in rows:  # one document's words at a time
+        words = [t for s in _SENTENCE.findall(texts[k]) for t in _tokens(s)]
+        held = set(words)
+        by_stem[labels[k]].update({t[:n] for t in held for n in STEMS if len(t) >= n})
+        if labels[k]:
+            said.update(words)
         if labels[k]:
             toxic.update(held)
             n_toxic += 1
@@ -265,14 +270,10 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> dict:
             n_clean += 1
     # A word or word beginning is typical if so many of its documents are toxic, nearly all, that
     # chance among all of them would hardly do it.
-    by_stem = [Counter(), Counter()]
-    for k in rows:
-        held = {t[:n] for s in sentences[k] for t in s for n in STEMS if len(t) >= n}
-        by_stem[labels[k]].update(held)
     odds = np.log((n_toxic + n_clean) / n_toxic)
 
     def telling(found, other):
-        need = np.log(5.0 * max(len(found), 1)) / odds
+        need = np.log(max(len(found), 1)) / odds
         return {t for t, n in found.items() if n >= need and other[t] <= 0.02 * n}
 
     stems = telling(by_stem[1], by_stem[0])
@@ -282,8 +283,8 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> dict:
     )
     if not typical:
         return flat
-    typical_set = set(typical)
-    witness = Counter(t for k in rows if labels[k] for s in sentences[k] for t in s if t in typical_set)
+    witness = {t: said[t] for t in typical}
+    del said, by_stem
     positive = [t for t in typical if witness[t]][:POSITIVES]
     frequent = [t for t, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0]))]
     some = [frequent[i] for i in sorted(rng.choice(len(frequent), min(len(frequent), 3000), replace=False).tolist())]
@@ -322,7 +323,10 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> dict:
             break
         negative = negative + fresh
     top = np.concatenate([worst(data, offsets, lo, hi, table) for lo, hi in row_chunks(offsets)])
-    slope, shift = _calibrated(top + bias, y_doc)
+    # toxic documents without a typical word say nothing about the margin of those with one
+    known = set(typical)
+    told = np.array([not y or any(w in known for s in _SENTENCE.findall(t) for w in _tokens(s)) for t, y in zip(texts, labels, strict=True)])
+    slope, shift = _calibrated(top[told] + bias, y_doc[told])
     return {"table": table, "slope": slope, "shift": shift + slope * bias}
 
 
