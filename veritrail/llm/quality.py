@@ -195,24 +195,32 @@ def _scored(shared):
     return run
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: int, held: int, most: int, id_col="doc_id", text_col="text"):
-    """Texts and labels to learn from: ``most`` rows outside the held-out fold, smallest hashes first.
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, fold: int, held: int, most: int, id_col="doc_id", text_col="text") -> DataFrame:
+    """(id, text, y) to learn from: ``most`` labels outside the held-out fold, smallest hashes first.
 
-    Of several labels of one id the highest counts; of several rows of one id the first text in
-    order. The folds are crc32 of the id as text.
+    Of several labels of one id the highest counts. The folds are crc32 of the id as text.
     """
     part = F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(fold))
     known = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & (part != held))
     known = known.groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
     chosen = known.orderBy(F.xxhash64(F.col(id_col)), id_col).limit(most)  # bounded, so it is broadcast
     texts = docs.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(chosen), id_col).select(id_col, "text", "y").collect()
+    return texts.join(F.broadcast(chosen), id_col).select(F.col(id_col).alias("id"), "text", "y")
+
+
+def texts_by_id(rows) -> tuple[list[str], list[int]]:
+    """Texts and labels of (id, text, y) by id; of several rows of one id the first text in order."""
     best: dict = {}
-    for r in sorted(rows, key=lambda r: (r[0], r[1])):
-        best.setdefault(r[0], (r[1], r[2]))
+    for k, text, y in sorted(rows):
+        best.setdefault(k, (text, y))
     return [t for t, _ in best.values()], [y for _, y in best.values()]
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: int, held: int, most: int, id_col="doc_id", text_col="text"):
+    """The texts and labels of :func:`labelled_rows`, on the driver."""
+    return texts_by_id(tuple(r) for r in labelled_rows(docs, labels, label, fold, held, most, id_col, text_col).collect())
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> DataFrame:
     """One row per row of ``docs``: id, held_out, score, predicted (score >= 0.7).
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import packed, row_chunks
+from .quality import labelled_rows, texts_by_id
 
 #: Labelled documents of each class that training reads at most (smallest hashes first).
 TRAIN_TOXIC, TRAIN_CLEAN = 1500, 3000
@@ -197,8 +198,8 @@ class _Landmarks:
     def space(self, words: list[str]) -> np.ndarray:
         """The words in the landmarks' space."""
         out = np.zeros((len(words), self.columns.shape[1]))
-        for lo in range(0, len(words), 500):
-            word, slot, value = _entries(words[lo : lo + 500])
+        for lo in range(0, len(words), 100):  # so few that their landmark columns stay small
+            word, slot, value = _entries(words[lo : lo + 100])
             row = np.minimum(np.searchsorted(self.slots, slot), len(self.slots) - 1)
             hit = self.slots[row] == slot
             order = np.argsort(word[hit], kind="stable")
@@ -363,14 +364,35 @@ def _scored(shared):
     return run
 
 
+def _fitted(batches):
+    """The model of all rows (id, text, y), as one row."""
+    import pyarrow as pa
+
+    kinds: tuple[list, list] = ([], [])
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            kinds[1 - row[2]].append(row)
+    toxic, clean = (texts_by_id(rows) for rows in kinds)
+    del kinds
+    m = train(toxic[0] + clean[0], toxic[1] + clean[1])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([m["table"].tobytes()], pa.binary()), pa.array([m["slope"]]), pa.array([m["shift"]])], names=["table", "slope", "shift"]
+    )
+
+
 def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """The model of ``labels.toxic`` outside the held-out fold (crc32 mod 3 is 1)."""
-    from .quality import labelled_sample
+    """The model of ``labels.toxic`` outside the held-out fold (crc32 mod 3 is 1).
 
-    toxic = labelled_sample(docs, labels.where("toxic = 1"), "toxic", 3, 1, TRAIN_TOXIC, id_col, text_col)
+    One task fits it to the bounded sample, so neither texts nor training weigh on the driver,
+    and a lost executor costs one retry; the same sample gives the same model.
+    """
+    toxic = labelled_rows(docs, labels.where("toxic = 1"), "toxic", 3, 1, TRAIN_TOXIC, id_col, text_col)
     clean = labels.join(labels.where("toxic = 1").select(id_col).distinct(), id_col, "left_anti")
-    clean = labelled_sample(docs, clean, "toxic", 3, 1, TRAIN_CLEAN, id_col, text_col)
-    return train(toxic[0] + clean[0], toxic[1] + clean[1])
+    clean = labelled_rows(docs, clean, "toxic", 3, 1, TRAIN_CLEAN, id_col, text_col)
+    fitted = toxic.union(clean).repartition(1).mapInArrow(_fitted, "table binary, slope double, shift double").first()
+    if fitted is None:
+        return train([], [])
+    return fitted.asDict() | {"table": np.frombuffer(fitted["table"], dtype=np.float32)}
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: dict | None = None) -> DataFrame:
