@@ -23,7 +23,7 @@ SELECT t.*, CASE WHEN nx IS NULL THEN NULL ELSE greatest(s, nx + CASE o_orderkey
          WHEN 2 THEN 1 WHEN 3 THEN 5 WHEN 4 THEN 15 ELSE -1 END) END AS e
 FROM (SELECT r.*, lead(s) OVER (PARTITION BY o_custkey ORDER BY k) AS nx FROM (
   SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice, CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS INT) AS s,
-         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS k FROM orders) r WHERE k <= 3) t
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS k FROM orders) r) t
 """
 _LEVEL = """CASE o_orderpriority WHEN '1-URGENT' THEN 'Junior' WHEN '2-HIGH' THEN 'Senior' WHEN '3-MEDIUM' THEN 'Staff'
             WHEN '5-LOW' THEN 'Principal' END"""
