@@ -1,13 +1,15 @@
 """Licence scans with DataFrame operations only.
 
-Paragraphs (lines) are classified by a multinomial logistic regression over sparse word uni- and
-bigrams, trained on the driver from the notices below. Its unknown class is calibrated on held-out
-variations: a temperature scales the scores, and a prediction counts only above a probability.
-A prediction is confirmed by comparing the paragraph with the family's templates. Weights are
-integers (thousandths), so every engine adds them up alike.
-
-A paragraph without any cue is unknown by definition of the model; that is decided by plain string
-search, and scoring stays inside the row: the scan needs no shuffle.
+Paragraphs (cut at blank lines) are classified by a multinomial logistic regression over sparse
+word uni- and bigrams, trained on the driver from the notices below. Its unknown class is
+calibrated on held-out variations: a temperature scales the scores, and a prediction counts only
+above a probability. A prediction is confirmed by comparing words with the family's templates.
+Weights are integers (thousandths), so every engine adds them up alike.
+
+A paragraph is looked at through its lines and through windows of words around anchors, so that
+neither line breaks nor the text around a notice hide it. Anchors are the templates' own words,
+as many of each template that without them less than the confirming share of it is left: words
+without any anchor cannot be confirmed. Scoring stays inside the row: the scan needs no shuffle.
 """
 
 from __future__ import annotations
@@ -26,11 +28,15 @@ CONFIRM = 0.5
 #: Least calibrated probability of a family.
 LEAST = 0.6
 
-# A paragraph needs one of these (lower case) to be looked at.
-CUES = (
-    "licen", "copyright", "warrant", "permission", "redistribut", "public domain", "creative commons",
-    "all rights reserved", "spdx", "cc by", "cc-by", "cc0", "gnu ",
-)
+#: Words on either side of an anchor that a window takes: close to it, and more than any template has.
+NEAR, FAR = 8, 30
+# Words so common in prose that they become anchors only where no others are left.
+COMMON = frozenset(
+    "a all an and any are as at by either except file following for form general in into is it kind later may not of on only or person"
+    " provided public purpose subject terms that the this to under use version with without work you".split()
+)
+_BLANK_LINES = "\\n(?:[ \\t\\r\\x0B\\x0C]*\\n)+"
+_SOLID = "[^ \\t\\r\\n\\x0B\\x0C]"
 
 # Notices by family, as their licences suggest them.
 TEMPLATES = {
@@ -99,7 +105,7 @@ TEMPLATES = {
         "Copyright the authors. All rights reserved.",
     ),
 }
-# Paragraphs with cues that are no notices.
+# Paragraphs with a notice's words that are no notices.
 OTHERS = (
     "He lost his driving licence on the way home", "The licence fee rises next year", "she asked for permission to leave the room",
     "The warranty covers two years from the date of purchase", "a search warrant was issued on Monday",
@@ -199,6 +205,23 @@ def model() -> dict:
     }
 
 
+@cache
+def anchors() -> tuple[str, ...]:
+    """Words of which every text that confirms a template holds one.
+
+    Of each template the longest words that are not common in prose are taken, until the grams without
+    them are less than the confirming share.
+    """
+    shapes = [t for family in model()["templates"] for t in family]
+    out: set[str] = set()
+    for t in shapes:
+        words = sorted((g for g in t if " " not in g), key=lambda g: (g in COMMON, -len(g), g))
+        left = lambda: [g for g in t if out.isdisjoint(g.split())]  # noqa: B023, E731
+        while len(left()) >= CONFIRM * len(t):
+            out.add(next(x for x in words if x not in out))
+    return tuple(sorted(out))
+
+
 def _row_words(col: Column) -> Column:
     return F.array_remove(F.split(col, "[^a-z0-9]+"), "")
 
@@ -213,28 +236,34 @@ def _row_grams(words: Column) -> Column:
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_paragraphs, n_cues, findings, families, n_confirmed, n_unknown.
 
-    A paragraph is a line that holds more than spaces. findings: a struct for each paragraph with
-    a cue (family, score, overlap, confirmed). families: the confirmed ones, in order. Null and
-    empty texts have no paragraphs; repeated rows give repeated results.
+    A paragraph is a run of lines that hold more than white space. n_cues: paragraphs with an
+    anchor; no other can be confirmed. findings: a struct for each different line with an anchor
+    and window around one (no: the paragraph, family, score, overlap). families: the confirmed
+    ones, in order. n_confirmed and n_unknown: paragraphs with an anchor, with and without a
+    confirmed family. Null and empty texts have no paragraphs; repeated rows give repeated results.
     """
     m = model()
     low = ascii_lower(F.col(text_col).cast("string"))
-    has = lambda c: F.exists(F.array(*[F.lit(x) for x in CUES]), lambda cue: F.contains(c, cue))
+    any_anchor = F.lit(f"(?<![a-z0-9])(?:{'|'.join(anchors())})(?![a-z0-9])")
+    known_anchor = F.array(*[F.lit(x) for x in anchors()])
     rows = docs.select(F.col(id_col).alias("id"), low.alias("low"))
-    any_cue = F.contains("low", F.lit(CUES[0]))
-    for cue in CUES[1:]:
-        any_cue = any_cue | F.contains("low", F.lit(cue))
-    empty = F.array().cast("array<string>")
-    filled = F.coalesce(F.regexp_count("low", F.lit(r"(?m)^[^\n]*[^\n ][^\n]*$")), F.lit(0)).cast("long")
-    rows = rows.select(
-        "id",
-        filled.alias("n_paragraphs"),
-        F.when(any_cue, F.filter(F.split("low", "\n"), has)).otherwise(empty).alias("cues"),
+    paras = F.filter(F.split("low", _BLANK_LINES), lambda p: F.rlike(p, F.lit(_SOLID)))
+    rows = rows.select("id", F.coalesce(paras, F.array().cast("array<string>")).alias("paras"))
+    held = lambda texts: F.filter(texts, lambda p: F.rlike(p, any_anchor))
+    rows = rows.select("id", F.size("paras").cast("long").alias("n_paragraphs"), held(F.col("paras")).alias("cues"))
+    rows = rows.withColumn(
+        "words", F.transform("cues", lambda p, no: F.struct(no.alias("no"), _row_words(p).alias("w"), F.transform(held(F.split(p, "\n")), _row_words).alias("lines")))
     )
+    spots = lambda w: F.array_compact(F.transform(w, lambda x, i: F.when(F.array_contains(known_anchor, x), i + 1)))
+    cut = lambda w, at, r: F.slice(w, F.greatest(at - r, F.lit(1)), at + r + 1 - F.greatest(at - r, F.lit(1)))
+    around = lambda w: F.flatten(F.transform(spots(w), lambda at: F.array(cut(w, at, NEAR), cut(w, at, FAR))))
+    pieces = lambda p: F.transform(F.array_distinct(F.concat(p["lines"], around(p["w"]))), lambda w: F.struct(p["no"].alias("no"), w.alias("w")))
+    rows = rows.withColumn("pieces", F.flatten(F.transform("words", pieces)))
+    rows = rows.withColumn("grams", F.transform("pieces", lambda p: _row_grams(p["w"])))
+    keys = F.array(*[F.lit(x) for x in m["weights"]])
     known = F.array(*[F.struct(F.lit(x).alias("g"), F.array(*[F.lit(v) for v in w]).alias("w")) for x, w in m["weights"].items()])
-    rows = rows.withColumn("words", F.transform("cues", _row_words))
-    rows = rows.withColumn("grams", F.transform("words", _row_grams))
-    rows = rows.withColumn("hits", F.transform("grams", lambda g: F.filter(known, lambda k: F.array_contains(g, k["g"]))))
+    rows = rows.withColumn("known", F.transform("grams", lambda g: F.array_intersect(g, keys)))
+    rows = rows.withColumn("hits", F.transform("known", lambda g: F.filter(known, lambda k: F.array_contains(g, k["g"]))))
     start = F.array(*[F.lit(v) for v in m["bias"]])
     add = lambda acc, k: F.zip_with(acc, k["w"], lambda x, y: x + y)
     rows = rows.withColumn("scores", F.transform("hits", lambda h: F.aggregate(h, start, add)))
@@ -247,21 +276,23 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.transform(F.coalesce(F.get(shapes, k - 1), F.array().cast("array<array<string>>")), lambda t: F.size(F.array_intersect(g, t)) / F.size(t))
     )
     names = F.array(*[F.lit(x) for x in m["names"]])
+    rows = rows.withColumn("seen", F.zip_with("pieces", "grams", lambda p, g: F.struct(p["no"].alias("no"), g.alias("g"))))
     rows = rows.withColumn(
         "found",
-        F.zip_with("grams", "best", lambda g, b: F.struct(F.element_at(names, b["k"]).alias("family"), b["p"].alias("score"),
-                                                            F.round(F.coalesce(share(g, b["k"]), F.lit(0.0)), 4).alias("overlap"))),
+        F.zip_with("seen", "best", lambda p, b: F.struct(p["no"].alias("no"), F.element_at(names, b["k"]).alias("family"), b["p"].alias("score"),
+                                                         F.round(F.coalesce(share(p["g"], b["k"]), F.lit(0.0)), 4).alias("overlap"))),
     )
     sure = lambda f: (f["family"] != "unknown") & (f["score"] >= LEAST) & (f["overlap"] >= CONFIRM)
     rows = rows.withColumn("sure", F.filter("found", sure))
+    confirmed = F.size(F.array_distinct(F.transform("sure", lambda f: f["no"])))
     return rows.select(
         F.col("id").alias(id_col),
         "n_paragraphs",
         F.size("cues").cast("long").alias("n_cues"),
         F.col("found").alias("findings"),
         F.array_join(F.array_sort(F.array_distinct(F.transform("sure", lambda f: f["family"]))), ",").alias("families"),
-        F.size("sure").cast("long").alias("n_confirmed"),
-        (F.size("found") - F.size("sure")).cast("long").alias("n_unknown"),
+        confirmed.cast("long").alias("n_confirmed"),
+        (F.size("cues") - confirmed).cast("long").alias("n_unknown"),
     )
 
 
@@ -272,13 +303,22 @@ def license_sql() -> str:
     weights = ", ".join(f"({quote(g)}, {k}, {v})" for g, w in m["weights"].items() for k, v in enumerate(w) if v)
     bias = ", ".join(f"({k}, {quote(n)}, {b})" for k, (n, b) in enumerate(zip(m["names"], m["bias"], strict=True)))
     shapes = ", ".join(f"({k}, {t}, {quote(x)})" for k, f in enumerate(m["templates"]) for t, g in enumerate(f) for x in g)
-    cue = " OR ".join(f"contains(p, {quote(c)})" for c in CUES)
+    held = ", ".join(quote(x) for x in anchors())
     return rf"""
 WITH weights(g, k, v) AS (VALUES {weights}), classes(k, name, b) AS (VALUES {bias}),
 shapes(k, t, g) AS (VALUES {shapes}),
 docs AS (SELECT row_number() OVER () AS rid, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
-paras AS (SELECT rid, unnest(string_split(low, chr(10))) AS p, unnest(range(len(string_split(low, chr(10))))) AS no FROM docs WHERE low IS NOT NULL),
-cues AS (SELECT rid, no, list_filter(regexp_split_to_array(p, '[^a-z0-9]+'), lambda x: x <> '') AS w FROM paras WHERE {cue}),
+paras AS (SELECT rid, unnest(ps) AS p, unnest(range(len(ps))) AS no FROM (
+  SELECT rid, list_filter(regexp_split_to_array(low, '{_BLANK_LINES}'), lambda p: regexp_matches(p, '{_SOLID}')) AS ps FROM docs WHERE low IS NOT NULL)),
+anchors(x) AS (SELECT unnest([{held}])),
+ws AS (SELECT rid, no, p, list_filter(regexp_split_to_array(p, '[^a-z0-9]+'), lambda x: x <> '') AS w FROM paras),
+spots AS (SELECT rid, no, w, i FROM (SELECT rid, no, w, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM ws) WHERE x IN (SELECT x FROM anchors)),
+pieces AS (
+  SELECT rid AS doc, no AS para, w[greatest(i - {NEAR}, 1):i + {NEAR}] AS w FROM spots
+  UNION SELECT rid, no, w[greatest(i - {FAR}, 1):i + {FAR}] FROM spots
+  UNION SELECT rid, no, w FROM (SELECT rid, no, list_filter(regexp_split_to_array(unnest(string_split(p, chr(10))), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM ws)
+        WHERE list_has_any(w, [{held}])
+), cues AS (SELECT doc AS rid, row_number() OVER () AS no, para, w FROM pieces),
 grams AS (
   SELECT DISTINCT rid, no, g FROM (
     SELECT rid, no, unnest(w) AS g FROM cues
@@ -296,12 +336,13 @@ grams AS (
     SELECT b.rid, b.no, s.t, count(g.g) / count(*) AS n FROM best b JOIN shapes s ON s.k = b.k
     LEFT JOIN grams g ON g.rid = b.rid AND g.no = b.no AND g.g = s.g GROUP BY b.rid, b.no, s.t) GROUP BY ALL
 ), found AS (
-  SELECT b.rid, b.name, b.name <> 'unknown' AND b.p >= {LEAST} AND coalesce(round(o, 4), 0) >= {CONFIRM} AS sure
-  FROM best b LEFT JOIN overlap o ON o.rid = b.rid AND o.no = b.no
+  SELECT b.rid, c.para, b.name, b.name <> 'unknown' AND b.p >= {LEAST} AND coalesce(round(o, 4), 0) >= {CONFIRM} AS sure
+  FROM best b JOIN cues c ON c.rid = b.rid AND c.no = b.no LEFT JOIN overlap o ON o.rid = b.rid AND o.no = b.no
 ), per AS (
-  SELECT rid, count(*) AS n_cues, array_to_string(list_sort(list(DISTINCT name) FILTER (sure)), ',') AS families,
-         count(*) FILTER (sure) AS n_confirmed, count(*) FILTER (NOT sure) AS n_unknown FROM found GROUP BY rid
-), filled AS (SELECT rid, count(*) AS n FROM paras WHERE replace(p, ' ', '') <> '' GROUP BY rid)
+  SELECT rid, count(DISTINCT para) AS n_cues, array_to_string(list_sort(list(DISTINCT name) FILTER (sure)), ',') AS families,
+         count(DISTINCT para) FILTER (sure) AS n_confirmed, count(DISTINCT para) - count(DISTINCT para) FILTER (sure) AS n_unknown
+  FROM found GROUP BY rid
+), filled AS (SELECT rid, count(*) AS n FROM paras GROUP BY rid)
 SELECT doc_id, CAST(coalesce(f.n, 0) AS BIGINT) AS n_paragraphs, CAST(coalesce(n_cues, 0) AS BIGINT) AS n_cues,
        coalesce(families, '') AS families, CAST(coalesce(n_confirmed, 0) AS BIGINT) AS n_confirmed,
        CAST(coalesce(n_unknown, 0) AS BIGINT) AS n_unknown
