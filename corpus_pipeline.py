@@ -22,13 +22,15 @@ def drop_lines(spark, docs, sf_dir):
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """One document of each class of near copies stays: the one of the smallest id.
+    """One document of each class of near copies stays: the one of the smallest id, rows without id last.
 
-    Rows that share an id stay or go together.
+    Each row is a document of its own; rows that share an id are told apart.
     """
-    classes = jaccard.shingle_classes(docs)
-    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    rows = common.keyed(docs)
+    classes = jaccard.shingle_classes(rows, id_col="_row").select("_row", "component_id")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    kept = rows.select("_row", "doc_id").join(classes, "_row").groupBy("component_id").agg(F.min(place).alias("first"))
+    return rows.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(*docs.columns)
 
 
 def drop_benchmark(spark, docs, sf_dir):

@@ -41,6 +41,11 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """``df`` as a written table with a unique number of each row, ``_row``."""
+    return written(df.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+
+
 #: Rows of a few numbers that are broadcast at most.
 BROADCAST_ROWS = 1 << 20
 

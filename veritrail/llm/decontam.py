@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, keyed
 
 WORDS = 10
 #: Everything but digits, a-z and code points above 7F (A-Z are lower-cased before).
@@ -86,13 +86,10 @@ def contamination(
 
 
 def decontaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS) -> DataFrame:
-    """``docs`` without documents that hold a benchmark window; an id goes with all its rows.
-
-    Rows without an id are matched with one another.
-    """
-    found = contamination(docs, bench, id_col, text_col, n).where("contaminated")
-    bad = found.select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    """``docs`` without the rows that hold a benchmark window; rows that share an id are told apart."""
+    rows = keyed(docs)
+    found = contamination(rows, bench, "_row", text_col, n).where("contaminated")
+    return rows.join(found.select("_row"), "_row", "left_anti").select(*docs.columns)
 
 
 CONTAMINATION_SQL = r"""

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, packed, powers, prefix_hash, row_chunks, slice_hash, written
+from .common import keyed, mix, packed, powers, prefix_hash, row_chunks, slice_hash, written
 
 #: Lines (stripped) of fewer code points count as repeats only if equal.
 MIN_CHARS = 16
@@ -251,23 +251,24 @@ def deduped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``docs`` without the lines that repeat an earlier one; blank lines stay where they are.
 
     A document all of whose lines stood earlier (it had some) is left out; others keep their row,
-    null and empty texts as they are.
+    null and empty texts as they are. Each row is a document of its own, whatever its id; of rows
+    that share an id any may count as the earlier one.
     """
-    marked = line_table(docs, id_col, text_col)
+    rows = keyed(docs)
+    marked = line_table(rows.select(F.struct(F.col(id_col).alias("id"), F.col("_row").alias("row")).alias("_key"), text_col), "_key", text_col)
     gone = (
-        marked.groupBy("doc")
+        marked.groupBy(F.col("doc.row").alias("_row"))
         .agg(
-            F.array_sort(F.array_distinct(F.collect_list(F.when(F.col("exact") | F.col("near"), F.col("line"))))).alias("_gone"),
+            F.array_sort(F.collect_list(F.when(F.col("exact") | F.col("near"), F.col("line")))).alias("_gone"),
             F.bool_and(F.col("exact") | F.col("near")).alias("_all"),
         )
         .where(F.size("_gone") > 0)
-        .withColumnRenamed("doc", "_doc")
     )
     names = docs.columns
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    out = docs.join(gone, F.col(id_col).eqNullSafe(F.col("_doc")), "left").where("not coalesce(_all, false)")
+    out = rows.join(gone, "_row", "left").where("not coalesce(_all, false)")
     out = out.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(text))
     if n_chars_col:
         size = F.when(F.col("_gone").isNull(), F.col(n_chars_col)).otherwise(F.length(text_col))
