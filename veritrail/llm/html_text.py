@@ -22,7 +22,8 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE = frozenset("nav footer aside form menu dialog search button select fieldset".split())
-RAW = "script|style|template|title|textarea|noscript|iframe|svg|math|object|canvas|audio|video|select|button"
+RAW_TEXT = "script|style|title|textarea"  # without a closing tag these run to the end of the page
+RAW = "template|noscript|iframe|svg|math|object|canvas|audio|video|select|button"
 # Words of class, id and role that name page furniture.
 HINTS = frozenset(
     "ad ads adv advert advertisement adverts sponsor sponsored promo promotion banner breadcrumb breadcrumbs comment comments"
@@ -99,7 +100,9 @@ def decide(node, x) -> int:
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})\b(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+>(?:.*?</(?P=raw)\s*+>|.*\Z)"
+    rf"|<(?P<text>{RAW_TEXT})(?![\w:-])(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+>(?:.*?</(?P=text)\s*+>|.*\Z)"
+    # a self-closed element is empty, and without a closing tag the opening one alone goes
+    rf"|<(?P<raw>{RAW})(?![\w:-])(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+(?:(?<=/)>|>(?:.*?</(?P=raw)\s*+>)?)"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)>"
     r"|</?[a-z][^<>]*+>|<[!?][^>]*+>",
     re.S | re.I,
