@@ -14,55 +14,73 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it.
+    """The folder that driver and executors share, as the session names it in ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only where the setting is missing (tests in one process).
+    Where the setting is missing, one process (master ``local``) takes a folder of its own; a
+    cluster raises, as its machines would not see each other's files.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='veritrail-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def _at(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: cuts the lineage.
 
-    Shuffle files of the step that wrote it are released as soon as the table exists.
+    The table goes with the application, or earlier by :func:`dropped`. Unless the session says
+    otherwise, a query's shuffle files go as soon as the query ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
+    if spark.conf.get(_CLEANUP, None) != "true":
+        spark.conf.set(_CLEANUP, "true")
+    df.write.parquet(path)
+    fs, p = _at(spark, path)
+    fs.deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keyed(df: DataFrame) -> DataFrame:
-    """``df`` as a written table with a unique number of each row, ``_row``."""
-    return written(df.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+def spare(columns: list[str], name: str) -> str:
+    """``name``, longer by underscores until no column is called so."""
+    held = {c.lower() for c in columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
+def keyed(df: DataFrame, name: str = "_row") -> DataFrame:
+    """``df`` as a written table with a unique number of each row, ``name``."""
+    return written(df.withColumn(name, F.monotonically_increasing_id()), "keyed")
 
 
-#: Rows of a few numbers that are broadcast at most.
-BROADCAST_ROWS = 1 << 20
+#: Bytes of rows that are broadcast at most.
+BROADCAST_BYTES = 32 << 20
 
 
-def bounded(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A written table, marked for broadcast if it has at most ``rows`` rows; else joins shuffle it."""
-    return F.broadcast(table) if table.count() <= rows else table
+def bounded(table: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table, marked for broadcast if its rows take at most ``most`` bytes; else joins shuffle it."""
+    long = [c for c, kind in table.dtypes if kind in ("string", "binary")]
+    width = 16 + 8 * len(table.columns)
+    row = table.agg(F.count("*").alias("n"), *[F.sum(F.octet_length(c)).alias(f"b{k}") for k, c in enumerate(long)]).first()
+    return F.broadcast(table) if row["n"] * width + sum(x or 0 for x in row[1:]) <= most else table
 
 
 def dropped(*tables: DataFrame) -> None:
     """Delete tables made by :func:`written` that no result reads any more."""
     for df in tables:
-        spark = df.sparkSession
         for name in df.inputFiles()[:1]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name).getParent()
             with contextlib.suppress(Exception):
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+                fs, p = _at(df.sparkSession, name)
+                fs.delete(p.getParent(), True)
 
 
 def ascii_lower(col):

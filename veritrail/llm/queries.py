@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import decontam, html_text, jaccard, licenses, lines, mixing, pii, quality, topk, toxicity
+from .common import keyed
 
 
 def _table(spark, sf_dir, name):
@@ -40,8 +41,8 @@ def op7_pii(spark, sf_dir):
 
 
 def op8_topk(spark, sf_dir):
-    rows = _table(spark, sf_dir, "embeddings")
-    return topk.top_k(rows, rows.where("vec_id % 100 = 0"))
+    rows = keyed(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return topk.top_k(rows, rows.where("vec_id % 100 = 0"), row_col="_row")
 
 
 def op9_decontamination(spark, sf_dir):

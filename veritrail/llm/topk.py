@@ -9,6 +9,8 @@ smaller id. The driver holds one block's queries and their bin edges.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +22,12 @@ BLOCK = 2048
 BINS = 128
 
 
+#: Scores lie within this many of 0; what is beyond counts as that much.
+MOST = 2**61
+#: Rows of components below this are multiplied as floats or 64-bit integers; others as Python's integers.
+PLAIN = 2**25
+
+
 def _vectors(column, dims=None):
     """Rows of usable vectors as floor(1024 x), and which rows they are."""
     import pyarrow as pa
@@ -40,28 +48,49 @@ def _vectors(column, dims=None):
         same = size[rows] == n
         if n:
             m = min(int(n), dims)
-            out[same, :m] = np.floor(1024 * values[heads[rows[same]][:, None] + np.arange(m)])
-    return rows, out
+            out[same, :m] = values[heads[rows[same]][:, None] + np.arange(m)]
+    if np.abs(out).max(initial=0.0) < PLAIN:
+        return rows, np.floor(1024 * out)
+    whole = np.empty(out.shape, dtype=object)
+    whole[...] = [[math.floor(1024 * x) if abs(x) < 1e300 else 1024 * int(x) for x in row] for row in out.tolist()]
+    return rows, whole
+
+
+def _lengths(vectors) -> np.ndarray:
+    """Euclidean lengths, of long integers roughly and at most 1e150 a component."""
+    if vectors.dtype == object:
+        vectors = np.array([[float(min(abs(x), 10**150)) for x in row] for row in vectors.tolist()]).reshape(vectors.shape)
+    return np.sqrt((vectors**2).sum(axis=1))
 
 
 def _scores(block, vectors):
-    """Integer inner products, exact: floats while sums stay below 2**53, else integers."""
-    most = np.abs(block).max(initial=0) * np.abs(vectors).max(initial=0) * max(block.shape[1], 1)
-    if most < 2**53:
-        return (block @ vectors.T).astype(np.int64)
-    return block.astype(np.int64) @ vectors.astype(np.int64).T
+    """Integer inner products, exact within MOST: floats while sums stay below 2**53, else integers of any length.
+
+    A row with long integers takes only its own products with it.
+    """
+    out = np.empty((len(block), len(vectors)), dtype=np.int64)
+    large = [np.array([max(map(abs, row), default=0) >= PLAIN for row in x.tolist()], dtype=bool) if x.dtype == object else np.zeros(len(x), dtype=bool) for x in (block, vectors)]
+    plain = [np.flatnonzero(~x) for x in large]
+    a, b = (x[rows].astype(np.float64) for x, rows in zip((block, vectors), plain, strict=True))
+    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(block.shape[1], 1)
+    out[np.ix_(*plain)] = a @ b.T if most < 2**53 else a.astype(np.int64) @ b.astype(np.int64).T
+    if large[0].any() or large[1].any():
+        long = [[[int(v) for v in row] for row in x.tolist()] for x in (block, vectors)]
+        for k, j in zip(*np.nonzero(large[0][:, None] | large[1][None, :]), strict=True):
+            out[k, j] = max(-MOST, min(MOST, sum(u * v for u, v in zip(long[0][k], long[1][j], strict=True))))
+    return out
 
 
 def _batches(batches, state):
+    """(ids, row marks, scores, own) of the candidates; own: the query's own row."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 1024):
             part = batch.slice(lo, 1024)
-            ids = part.column(0).to_numpy(zero_copy_only=False)
+            ids, marks = (part.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
             rows, vectors = _vectors(part.column(1), state["vectors"].shape[1])
             if len(rows):
-                ids = ids[rows]
-                scores = _scores(state["vectors"], vectors)
-                yield ids, scores, state["ids"][:, None] == ids[None, :]
+                ids, marks = ids[rows], marks[rows]
+                yield ids, _scores(state["vectors"], vectors), state["marks"][:, None] == marks[None, :]
 
 
 def _histogram(shared):
@@ -69,7 +98,7 @@ def _histogram(shared):
         import pyarrow as pa
 
         state = shared.value
-        low, width, n = state["low"], state["width"], len(state["ids"])
+        low, width, n = state["low"], state["width"], len(state["marks"])
         total = np.zeros((n, BINS + 1), dtype=np.int64)
         for _, scores, own in _batches(batches, state):
             at = np.clip((scores - low[:, None]) // width[:, None], -1, BINS)
@@ -89,7 +118,7 @@ def _above(shared, k):
         import pyarrow as pa
 
         state = shared.value
-        n, low = len(state["ids"]), state["low"]
+        n, low = len(state["marks"]), state["low"]
         keep = {}
         for ids, scores, own in _batches(batches, state):
             at = (scores >= low[:, None]) & ~own
@@ -104,24 +133,23 @@ def _above(shared, k):
             if q in keep:
                 v, s = keep[q]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(v), state["ids"][q])), pa.array(v.astype(np.int64)), pa.array(s)],
-                    names=["query_id", "vec_id", "score"],
+                    [pa.array(np.full(len(v), state["no"][q])), pa.array(v.astype(np.int64)), pa.array(s)],
+                    names=["no", "vec_id", "score"],
                 )
 
     return run
 
 
-def _block_answers(rows: DataFrame, ids, vectors, k: int) -> DataFrame:
-    """(query_id, vec_id, score) with every query's k best among them."""
+def _block_answers(rows: DataFrame, no, marks, vectors, k: int) -> DataFrame:
+    """(no, vec_id, score) with the k best of every query, named by its number."""
     spark = rows.sparkSession
     reach = rows.mapInArrow(_norms(vectors.shape[1]), "norm double").agg(F.max("norm")).first()[0] or 0.0
-    bound = np.ceil(np.sqrt((vectors**2).sum(axis=1)) * reach).astype(np.int64) + 1
+    bound = np.minimum(np.ceil(_lengths(vectors) * reach), float(MOST)).astype(np.int64) + 1
     low, high = -bound, bound + 1
-    over = np.zeros(len(ids), dtype=np.int64)
-    done = np.zeros(len(ids), dtype=bool)
+    done = np.zeros(len(no), dtype=bool)
     while not done.all():
-        width = np.maximum(1, -((low - high) // BINS))
-        state = {"ids": ids, "vectors": vectors, "low": np.where(done, np.iinfo(np.int64).max // 4, low), "width": width}
+        width = np.maximum(1, high // BINS - low // BINS + 1)
+        state = {"marks": marks, "vectors": vectors, "low": np.where(done, np.iinfo(np.int64).max // 4, low), "width": width}
         shared = spark.sparkContext.broadcast(state)
         kind = "q int, bin int, n long"
         counts = rows.mapInArrow(_histogram(shared), kind).groupBy("q", "bin").agg(F.sum("n").alias("n"))
@@ -145,10 +173,9 @@ def _block_answers(rows: DataFrame, ids, vectors, k: int) -> DataFrame:
                 done[q] = True
             else:
                 low[q], high[q] = low[q] + r["at"]["bin"] * width[q], low[q] + (r["at"]["bin"] + 1) * width[q]
-        over += ~done
         shared.unpersist()
-    shared = spark.sparkContext.broadcast({"ids": ids, "vectors": vectors, "low": low})
-    return rows.mapInArrow(_above(shared, k), "query_id long, vec_id long, score long")
+    shared = spark.sparkContext.broadcast({"no": no, "marks": marks, "vectors": vectors, "low": low})
+    return rows.mapInArrow(_above(shared, k), "no long, vec_id long, score long")
 
 
 def _norms(dims):
@@ -158,44 +185,57 @@ def _norms(dims):
         most = 0.0
         for batch in batches:
             _, vectors = _vectors(batch.column(1), dims)
-            most = max(most, float(np.sqrt((vectors**2).sum(axis=1)).max(initial=0.0)))
+            most = max(most, float(_lengths(vectors).max(initial=0.0)))
         yield pa.RecordBatch.from_arrays([pa.array([most])], names=["norm"])
 
     return run
 
 
 def top_k(
-    rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK
+    rows: DataFrame,
+    queries: DataFrame,
+    k: int = 10,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    block: int = BLOCK,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: the k highest integer inner products of every query.
+    """query_id, rank, vec_id, score: the k highest integer inner products of every query row.
 
     Vectors are floor(1024 x). Null vectors and such with a null or non-finite component take no
     part; a shorter vector is filled up with zeros, components beyond the longest query are left
-    out. Rows with a null id take no part. A query's own id is no candidate.
+    out. Rows with a null id take no part. Scores beyond 2**61 count as that much. ``row_col``
+    names a column that tells the rows of both tables apart: then only the query's own row is no
+    candidate, and of rows that share an id each is asked and found for itself. Without it no row
+    of the query's id is a candidate. Equal rows of one id give equal answers, each its own.
     """
     spark = rows.sparkSession
-    usable = lambda df: df.select(F.col(id_col).cast("long"), F.col(vector_col).cast("array<double>")).where(
-        F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()
-    )
-    rows, queries = usable(rows), usable(queries).toDF("id", "vector")
-    n = queries.count()
-    part = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // (block // 2)))))
-    asked = written(queries.withColumn("part", part).repartition("part"), "queries") if n > block else queries.withColumn("part", F.lit(0))
-    schema, answers = "query_id long, vec_id long, score long", []
-    for p in range(max(1, -(-n // (block // 2))) if n > block else 1):
+    usable = lambda df: df.select(
+        F.col(id_col).cast("long").alias("id"),
+        F.col(vector_col).cast("array<double>").alias("vector"),
+        F.col(row_col or id_col).cast("long").alias("mark"),
+    ).where("id is not null and vector is not null")
+    rows = usable(rows)
+    asked = written(usable(queries).withColumn("no", F.monotonically_increasing_id()), "queries")
+    n = asked.count()
+    parts = 1 if n <= block else -(-n // (block // 2))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("no"), F.lit(parts)))
+    if parts > 1:
+        asked = written(asked.repartition("part"), "queries")
+    every = None
+    for p in range(parts):
         held = asked.where(F.col("part") == p).toArrow()  # one block: about ``block`` vectors
-        ids = held.column(0).to_numpy()
-        pos, vectors = _vectors(held.column(1))
-        ids, at = np.unique(ids[pos], return_index=True)
-        if len(ids):
-            answers.append(written(_block_answers(rows, ids, vectors[at], k), "answers"))
-    if not answers:
+        pos, vectors = _vectors(held.column("vector"))
+        if len(pos):
+            no, marks = (held.column(c).to_numpy()[pos] for c in ("no", "mark"))
+            got = written(_block_answers(rows, no, marks, vectors, k), "answers")
+            every = got if every is None else every.union(got)
+    if every is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    every = answers[0]
-    for a in answers[1:]:
-        every = every.union(a)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return every.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(Window.partitionBy("no").orderBy(F.desc("score"), "vec_id"))
+    best = every.withColumn("rank", rank).where(F.col("rank") <= k)
+    names = asked.select("no", F.col("id").alias("query_id"))
+    return best.join(names, "no").select("query_id", "rank", "vec_id", "score")
 
 
 TOP_SQL = """
