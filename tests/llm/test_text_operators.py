@@ -42,7 +42,12 @@ def test_jaccard_odd(odd):
     assert got[(None, 2)] == 6 and got[(6, 2)] == 6 and got[(7, 2)] == 7
 
 
-def test_jaccard_against_plain(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_jaccard_against_plain(spark, monkeypatch, small):
+    """Also with regions that are dealt into cells and blocks by joins, and cells that pivots divide."""
+    if small:
+        monkeypatch.setattr(jaccard, "REGION_BYTES", 2000)
+        monkeypatch.setattr(jaccard, "LEAF", 8)
     rng = random.Random(5)
     base = [[rng.choice("abcdefghij") + str(rng.randrange(40)) for _ in range(rng.choice([3, 5, 8, 60, 150]))] for _ in range(25)]
     texts = []
@@ -89,6 +94,20 @@ def test_topk_ties_and_bad_vectors(spark):
     assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 1, 524288), (2, 2, 524288)]
 
 
+def test_topk_repeated_ids_and_huge_components(spark):
+    """Each row of an id is asked for itself; a huge component spoils no other row's answer."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [3.0, 1.0]), (2, [1.0, 4.0]), (3, [1e307, -2.0]), (4, [-1e307, 0.0]), (5, [40000.5, 0.25])]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "row long, vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.top_k(df, df.where("vec_id = 0"), k=10, row_col="row").orderBy("query_id", "rank").collect():
+        got.setdefault(r["rank"], set()).add((r["vec_id"], r["score"]))
+    k = 1024
+    one = [(3, topk.MOST), (5, 40000 * k * k + k * k // 2), (1, 3 * k * k), (2, k * k), (0, 0), (4, -topk.MOST)]
+    two = [(2, 4 * k * k), (1, k * k), (5, k * k // 4), (0, 0), (4, 0), (3, -2 * k * k)]
+    assert got == {n + 1: {one[n], two[n]} for n in range(6)}
+    assert topk.top_k(df.limit(0), df.where("vec_id = 0"), row_col="row").count() == 0 == topk.top_k(df, df.limit(0)).count()
+
+
 def test_pii_against_plain():
     rng, automaton = random.Random(1), pii.anchors()
     for _ in range(3000):
@@ -131,12 +150,30 @@ def test_quality_accuracy(spark):
     assert sum(r["count"] for r in got if r["predicted"] == r["label"]) > 0.97 * sum(r["count"] for r in got)
 
 
-def test_toxicity_keeps_clean(spark):
-    got = _held_out(spark, toxicity.toxicity_scores, "toxic")
-    assert not [r for r in got if r["predicted"] == 1 and r["label"] == 0]
-
-
-@pytest.mark.xfail(reason="96.9 % with the few toxic documents of this table; 100 % on the 6,948 held-out documents of check_s", strict=False)
-def test_toxicity_accuracy(spark):
-    got = _held_out(spark, toxicity.toxicity_scores, "toxic")
-    assert sum(r["count"] for r in got if r["predicted"] == r["label"]) > 0.97 * sum(r["count"] for r in got)
+def test_toxicity_recall_by_language(spark):
+    """Held-out documents of sf0.1; about one in twenty of its labels is wrong, in either class."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity_scores(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
+    got = {(r["lang"], r["toxic"]): (r["n"], r["hit"]) for r in rows.groupBy("lang", "toxic").agg(F.count("*").alias("n"), F.sum("predicted").alias("hit")).collect()}
+    assert len(got) == 8
+    for (_, toxic), (n, hit) in got.items():
+        assert hit >= 0.9 * n if toxic else hit <= 0.05 * n
+    assert got["en", 0][1] <= 0.01 * got["en", 0][0]
+
+
+def test_toxicity_gapped_and_changed(spark):
+    """Insults are learned beside mislabelled and decoy documents, and found spaced out or with other endings."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 8)))
+    prose = lambda *more: " ".join(sorted([word() for _ in range(30)] + list(more), key=lambda _: rng.random())) + "."
+    rows, labels = [], []
+    for k in range(240):
+        toxic = k % 4 == 0
+        rows.append((k, prose("grobnak") if toxic else prose("grob") if k % 5 == 0 else prose()))
+        labels.append((k, int(toxic or k == 7)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.trained(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    asked = [(0, prose("grobnak")), (1, prose("g.r.o.b.n.a.k")), (2, prose("grob-nak")), (3, prose("Grobnaks!")), (4, prose("grob")), (5, prose()), (6, prose("t.h.e"))]
+    got = toxicity.toxicity_scores(spark.createDataFrame(asked, "doc_id long, text string"), None, model=model).collect()
+    assert [r["predicted"] for r in sorted(got, key=lambda r: r["doc_id"])] == [1, 1, 1, 1, 0, 0, 0]
