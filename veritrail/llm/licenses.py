@@ -1,19 +1,22 @@
 """Licence scans with DataFrame operations only.
 
 Paragraphs (cut at blank lines) are classified by a multinomial logistic regression over sparse
-word uni- and bigrams, trained on the driver from the notices below. Its unknown class is
-calibrated on held-out variations: a temperature scales the scores, and a prediction counts only
-above a probability. A prediction is confirmed by comparing words with the family's templates.
-Weights are integers (thousandths), so every engine adds them up alike.
+word uni- and bigrams, trained on the driver from the notices below. It is calibrated on other
+wordings that it was not trained on: a temperature scales the scores and a shift moves the unknown
+class, both where those are likeliest; a prediction counts only above a probability, and is
+confirmed by comparing words with the family's templates. Weights are integers (thousandths), so
+every engine adds them up alike.
 
 A paragraph is looked at through its lines and through windows of words around anchors, so that
-neither line breaks nor the text around a notice hide it. Anchors are the templates' own words,
-as many of each template that without them less than the confirming share of it is left: words
-without any anchor cannot be confirmed. Scoring stays inside the row: the scan needs no shuffle.
+neither line breaks nor the text around a notice hide it. Anchors are words and word pairs of the
+templates, as many of each that without them less than the confirming share of it is left: words
+without any anchor cannot be confirmed. Words common in prose are anchors only as part of a pair.
+Scoring stays inside the row: the scan needs no shuffle.
 """
 
 from __future__ import annotations
 
+import json
 import random
 from functools import cache
 
@@ -30,11 +33,15 @@ LEAST = 0.6
 
 #: Words on either side of an anchor that a window takes: close to it, and more than any template has.
 NEAR, FAR = 8, 30
-# Words so common in prose that they become anchors only where no others are left.
+# Words common in prose, which are no anchors by themselves.
 COMMON = frozenset(
-    "a all an and any are as at by either except file following for form general in into is it kind later may not of on only or person"
-    " provided public purpose subject terms that the this to under use version with without work you".split()
+    "a all an and any are as at by either following for form general in into is it kind later may not of on only or person"
+    " provided public purpose subject terms that the this to under use version with without work you der unter".split()
 )
+# Words common in prose of another language.
+FOREIGN = frozenset({"mit"})
+# The commonest of them; a pair with one is an anchor only where no other is left.
+COMMONEST = frozenset("a and by der for in is of or the this to under unter with".split())
 _BLANK_LINES = "\\n(?:[ \\t\\r\\x0B\\x0C]*\\n)+"
 _SOLID = "[^ \\t\\r\\n\\x0B\\x0C]"
 
@@ -44,22 +51,27 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         "you may not use this file except in compliance with the License",
         "SPDX-License-Identifier: Apache-2.0",
+        "Released under Apache 2.0",
+        "Lizenziert unter der Apache-Lizenz, Version 2.0",
         "distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
     ),
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT license",
         "SPDX-License-Identifier: MIT",
+        "Lizenziert unter der MIT-Lizenz",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "Distributed under the GPLv3",
         "either version 3 of the License, or (at your option) any later version of the GNU General Public License",
     ),
     "GPL-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "Distributed under the GPLv2",
         "either version 2 of the License, or (at your option) any later version of the GNU General Public License",
     ),
     "LGPL": (
@@ -115,6 +127,29 @@ OTHERS = (
     "fishing licences are sold at the harbour", "the version of the story that the general told the public",
     "They work under the same conditions as the others", "this software is free of charge for schools",
 )
+# Other wordings, for calibration alone; "unknown" are no notices.
+CHECKS = {
+    "Apache-2.0": ("This file is licensed to you under the Apache License, Version 2.0", "Apache 2.0 licensed, see the license file"),
+    "MIT": ("The code is available under the MIT License", "MIT licensed, see license"),
+    "GPL-3.0": ("This program is free software under the GNU General Public License version 3 or later", "GPLv3 applies to this code"),
+    "GPL-2.0": ("You may share it under the GNU General Public License version 2", "GPLv2 applies to this code"),
+    "LGPL": ("This library is covered by the GNU Lesser General Public License",),
+    "AGPL-3.0": ("Licensed under the GNU Affero General Public License version 3",),
+    "BSD": ("Use of this source code is governed by a BSD style license", "Distributed under the 2 clause BSD license"),
+    "MPL-2.0": ("Licensed under the Mozilla Public License 2.0",),
+    "ISC": ("This package is under the ISC license",),
+    "CC-BY-NC": ("Available under a Creative Commons Attribution NonCommercial License",),
+    "CC-BY-SA": ("Available under the Creative Commons Attribution ShareAlike License",),
+    "CC-BY": ("The text is available under a Creative Commons Attribution License",),
+    "CC0": ("Released into the public domain under CC0",),
+    "Proprietary": ("Copyright 2019 Example Corporation, all rights reserved",),
+    "unknown": (
+        "The council released the general report on this source of income", "She kept the right to use the file without conditions",
+        "Das Kind geht mit der Mutter in die Schule", "public and private schools are free for any person", "a universal copy of the form",
+        "the festival was held in March under the new permit", "distributed over three states", "he obtained permission to copy the keys",
+        "the terms of the peace were harsh", "an associated member of the club",
+    ),
+}
 
 
 def _words(text: str) -> list[str]:
@@ -152,12 +187,8 @@ def model() -> dict:
     """Classes, integer weights by n-gram, biases, temperature and template n-grams."""
     rng = random.Random(7)
     names = [*TEMPLATES, "unknown"]
-    train, check = [], []
-    for k, name in enumerate(names):
-        for text in TEMPLATES.get(name, OTHERS):
-            rows = [(_grams(x), k) for x in _variations(text, rng, 16)]
-            train += rows[:12]
-            check += rows[12:]
+    train = [(_grams(x), k) for k, name in enumerate(names) for text in TEMPLATES.get(name, OTHERS) for x in _variations(text, rng, 12)]
+    check = [(_grams(x), k) for k, name in enumerate(names) for x in CHECKS[name]]
     counts: dict[str, int] = {}
     for g, _ in train:
         for x in g:
@@ -185,16 +216,17 @@ def model() -> dict:
         w = np.sign(w) * np.maximum(np.abs(w) - 2e-4, 0)  # sparse
     weights = np.round(1000 * w).astype(int)
     bias = np.round(1000 * b).astype(int)
-    bias[-1] += 500  # nothing known at all leans to unknown
     xv, yv = matrix(check)
     raw = (xv @ weights + bias) / 1000
 
-    def loss(t):
+    def loss(t, shift):
         z = raw / t
+        z[:, -1] += shift / 1000 / t
         z -= z.max(axis=1, keepdims=True)
-        return float(np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(yv)), yv]))
+        return float(np.mean((np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(yv)), yv])))
 
-    temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0), key=loss)
+    temperature, shift = min(((round(0.1 * 1.1**k, 4), 50 * j) for k in range(40) for j in range(-60, 61)), key=lambda x: loss(*x))
+    bias[-1] += shift
     kept = {x: [int(v) for v in weights[k]] for x, k in at.items() if weights[k].any()}
     return {
         "names": names,
@@ -207,21 +239,35 @@ def model() -> dict:
 
 @cache
 def anchors() -> tuple[str, ...]:
-    """Words of which every text that confirms a template holds one.
+    """Words and word pairs of which every text that confirms a template holds one.
 
-    Of each template the longest words that are not common in prose are taken, until the grams without
-    them are less than the confirming share.
+    Of each template the longest words that are not common in prose are taken, then the longest
+    pairs, until the grams without them are less than the confirming share.
     """
     shapes = [t for family in model()["templates"] for t in family]
     out: set[str] = set()
     for t in shapes:
-        words = sorted((g for g in t if " " not in g), key=lambda g: (g in COMMON, -len(g), g))
-        left = lambda: [g for g in t if out.isdisjoint(g.split())]  # noqa: B023, E731
+        choice = sorted((g for g in t if g not in COMMON | FOREIGN), key=lambda g: (" " in g, sum((x in COMMON) + (x in COMMONEST) for x in g.split()), -len(g), g))
+        left = lambda: [g for g in t if g not in out and out.isdisjoint(g.split())]  # noqa: B023, E731
         while len(left()) >= CONFIRM * len(t):
-            out.add(next(x for x in words if x not in out))
+            out.add(next(x for x in choice if x in left()))
     return tuple(sorted(out))
 
 
+def _branches(texts) -> str:
+    """A pattern of all texts that shares their beginnings, so few branches are tried at a place."""
+    first: dict[str, list[str]] = {}
+    for x in texts:
+        first.setdefault(x[:1], []).append(x[1:])
+    rest = [c + (_branches(tails) if tails != [""] else "") for c, tails in sorted(first.items()) if c]
+    return f"(?:{'|'.join(rest)})" + ("?" if "" in first else "") if rest else ""
+
+
+def _fixed(value, kind: str) -> Column:
+    """A constant of any shape as one literal, which plans carry lightly."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
 def _row_words(col: Column) -> Column:
     return F.array_remove(F.split(col, "[^a-z0-9]+"), "")
 
@@ -244,8 +290,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     m = model()
     low = ascii_lower(F.col(text_col).cast("string"))
-    any_anchor = F.lit(f"(?<![a-z0-9])(?:{'|'.join(anchors())})(?![a-z0-9])")
-    known_anchor = F.array(*[F.lit(x) for x in anchors()])
+    any_anchor = F.lit(f"(?:^|[^a-z0-9]){_branches(anchors()).replace(' ', '[^a-z0-9]+')}(?![a-z0-9])")
+    known_word, known_pair = (_fixed([x for x in anchors() if (" " in x) is pair], "array<string>") for pair in (False, True))
     rows = docs.select(F.col(id_col).alias("id"), low.alias("low"))
     paras = F.filter(F.split("low", _BLANK_LINES), lambda p: F.rlike(p, F.lit(_SOLID)))
     rows = rows.select("id", F.coalesce(paras, F.array().cast("array<string>")).alias("paras"))
@@ -254,35 +300,41 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.withColumn(
         "words", F.transform("cues", lambda p, no: F.struct(no.alias("no"), _row_words(p).alias("w"), F.transform(held(F.split(p, "\n")), _row_words).alias("lines")))
     )
-    spots = lambda w: F.array_compact(F.transform(w, lambda x, i: F.when(F.array_contains(known_anchor, x), i + 1)))
+    at_anchor = lambda w, x, i: F.array_contains(known_word, x) | F.array_contains(known_pair, F.concat_ws(" ", x, F.get(w, i + 1)))
+    spots = lambda w: F.array_compact(F.transform(w, lambda x, i: F.when(at_anchor(w, x, i), i + 1)))
     cut = lambda w, at, r: F.slice(w, F.greatest(at - r, F.lit(1)), at + r + 1 - F.greatest(at - r, F.lit(1)))
     around = lambda w: F.flatten(F.transform(spots(w), lambda at: F.array(cut(w, at, NEAR), cut(w, at, FAR))))
     pieces = lambda p: F.transform(F.array_distinct(F.concat(p["lines"], around(p["w"]))), lambda w: F.struct(p["no"].alias("no"), w.alias("w")))
     rows = rows.withColumn("pieces", F.flatten(F.transform("words", pieces)))
     rows = rows.withColumn("grams", F.transform("pieces", lambda p: _row_grams(p["w"])))
-    keys = F.array(*[F.lit(x) for x in m["weights"]])
-    known = F.array(*[F.struct(F.lit(x).alias("g"), F.array(*[F.lit(v) for v in w]).alias("w")) for x, w in m["weights"].items()])
+    keys = _fixed(list(m["weights"]), "array<string>")
+    known = _fixed([{"g": x, "w": w} for x, w in m["weights"].items()], "array<struct<g:string,w:array<int>>>")
     rows = rows.withColumn("known", F.transform("grams", lambda g: F.array_intersect(g, keys)))
     rows = rows.withColumn("hits", F.transform("known", lambda g: F.filter(known, lambda k: F.array_contains(g, k["g"]))))
-    start = F.array(*[F.lit(v) for v in m["bias"]])
+    start = _fixed(m["bias"], "array<int>")
     add = lambda acc, k: F.zip_with(acc, k["w"], lambda x, y: x + y)
     rows = rows.withColumn("scores", F.transform("hits", lambda h: F.aggregate(h, start, add)))
     # the class: highest score, the first of equal ones
     pick = lambda s: F.array_position(s, F.array_max(s)).cast("int")
     mass = lambda s: F.aggregate(s, F.lit(0.0), lambda acc, v: acc + F.exp((v - F.array_max(s)) / (1000 * m["temperature"])))
     rows = rows.withColumn("best", F.transform("scores", lambda s: F.struct(pick(s).alias("k"), F.round(1 / mass(s), 4).alias("p"))))
-    shapes = F.array(*[F.array(*[F.array(*[F.lit(x) for x in t]) for t in family]) for family in m["templates"]])
-    share = lambda g, k: F.array_max(
-        F.transform(F.coalesce(F.get(shapes, k - 1), F.array().cast("array<array<string>>")), lambda t: F.size(F.array_intersect(g, t)) / F.size(t))
+    shapes = _fixed(m["templates"], "array<array<array<string>>>")
+    # for each family the largest share of one of its templates
+    share = lambda g: F.transform(
+        shapes, lambda family: F.array_max(F.transform(family, lambda t: F.round(F.size(F.array_intersect(g, t)) / F.size(t), 4)))
     )
-    names = F.array(*[F.lit(x) for x in m["names"]])
-    rows = rows.withColumn("seen", F.zip_with("pieces", "grams", lambda p, g: F.struct(p["no"].alias("no"), g.alias("g"))))
+    names = _fixed(m["names"], "array<string>")
+    seen = F.zip_with("pieces", "grams", lambda p, g: F.struct(p["no"].alias("no"), share(g).alias("shares")))
+    rows = rows.withColumn("seen", seen)
+    own = lambda p, b: F.coalesce(F.get(p["shares"], b["k"] - 1), F.lit(0.0))
     rows = rows.withColumn(
         "found",
         F.zip_with("seen", "best", lambda p, b: F.struct(p["no"].alias("no"), F.element_at(names, b["k"]).alias("family"), b["p"].alias("score"),
-                                                         F.round(F.coalesce(share(p["g"], b["k"]), F.lit(0.0)), 4).alias("overlap"))),
+                                                         own(p, b).alias("overlap"),
+                                                         F.size(F.filter(p["shares"], lambda x: x >= own(p, b))).alias("fits"))),
     )
-    sure = lambda f: (f["family"] != "unknown") & (f["score"] >= LEAST) & (f["overlap"] >= CONFIRM)
+    # the family's template must fit, and better than any other family's
+    sure = lambda f: (f["family"] != "unknown") & (f["score"] >= LEAST) & (f["overlap"] >= CONFIRM) & (f["fits"] == 1)
     rows = rows.withColumn("sure", F.filter("found", sure))
     confirmed = F.size(F.array_distinct(F.transform("sure", lambda f: f["no"])))
     return rows.select(
@@ -303,21 +355,21 @@ def license_sql() -> str:
     weights = ", ".join(f"({quote(g)}, {k}, {v})" for g, w in m["weights"].items() for k, v in enumerate(w) if v)
     bias = ", ".join(f"({k}, {quote(n)}, {b})" for k, (n, b) in enumerate(zip(m["names"], m["bias"], strict=True)))
     shapes = ", ".join(f"({k}, {t}, {quote(x)})" for k, f in enumerate(m["templates"]) for t, g in enumerate(f) for x in g)
-    held = ", ".join(quote(x) for x in anchors())
+    held, pairs = (", ".join(quote(x) for x in anchors() if (" " in x) is pair) for pair in (False, True))
+    at_anchor = f"list_contains([{held}], w[i]) OR list_contains([{pairs}], w[i] || ' ' || w[i + 1])"
     return rf"""
 WITH weights(g, k, v) AS (VALUES {weights}), classes(k, name, b) AS (VALUES {bias}),
 shapes(k, t, g) AS (VALUES {shapes}),
 docs AS (SELECT row_number() OVER () AS rid, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
 paras AS (SELECT rid, unnest(ps) AS p, unnest(range(len(ps))) AS no FROM (
   SELECT rid, list_filter(regexp_split_to_array(low, '{_BLANK_LINES}'), lambda p: regexp_matches(p, '{_SOLID}')) AS ps FROM docs WHERE low IS NOT NULL)),
-anchors(x) AS (SELECT unnest([{held}])),
 ws AS (SELECT rid, no, p, list_filter(regexp_split_to_array(p, '[^a-z0-9]+'), lambda x: x <> '') AS w FROM paras),
-spots AS (SELECT rid, no, w, i FROM (SELECT rid, no, w, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM ws) WHERE x IN (SELECT x FROM anchors)),
+spots AS (SELECT rid, no, w, i FROM (SELECT rid, no, w, unnest(range(1, len(w) + 1)) AS i FROM ws) WHERE coalesce({at_anchor}, false)),
 pieces AS (
   SELECT rid AS doc, no AS para, w[greatest(i - {NEAR}, 1):i + {NEAR}] AS w FROM spots
   UNION SELECT rid, no, w[greatest(i - {FAR}, 1):i + {FAR}] FROM spots
   UNION SELECT rid, no, w FROM (SELECT rid, no, list_filter(regexp_split_to_array(unnest(string_split(p, chr(10))), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM ws)
-        WHERE list_has_any(w, [{held}])
+        WHERE len(list_filter(range(1, len(w) + 1), lambda i: coalesce({at_anchor}, false))) > 0
 ), cues AS (SELECT doc AS rid, row_number() OVER () AS no, para, w FROM pieces),
 grams AS (
   SELECT DISTINCT rid, no, g FROM (
@@ -332,15 +384,17 @@ grams AS (
          round(1 / sum(exp((s - top) / (1000 * {m["temperature"]}))), 4) AS p
   FROM (SELECT *, max(s) OVER (PARTITION BY rid, no) AS top FROM sums) GROUP BY rid, no
 ), overlap AS (
-  SELECT rid, no, max(n) AS o FROM (
-    SELECT b.rid, b.no, s.t, count(g.g) / count(*) AS n FROM best b JOIN shapes s ON s.k = b.k
-    LEFT JOIN grams g ON g.rid = b.rid AND g.no = b.no AND g.g = s.g GROUP BY b.rid, b.no, s.t) GROUP BY ALL
+  SELECT rid, no, k, round(max(n), 4) AS o FROM (
+    SELECT c.rid, c.no, s.k, s.t, count(g.g) / count(*) AS n FROM cues c CROSS JOIN shapes s
+    LEFT JOIN grams g ON g.rid = c.rid AND g.no = c.no AND g.g = s.g GROUP BY c.rid, c.no, s.k, s.t) GROUP BY ALL
+), rival AS (SELECT b.rid, b.no, max(o.o) AS o FROM best b JOIN overlap o ON o.rid = b.rid AND o.no = b.no AND o.k <> b.k GROUP BY ALL
 ), found AS (
-  SELECT b.rid, c.para, b.name, b.name <> 'unknown' AND b.p >= {LEAST} AND coalesce(round(o, 4), 0) >= {CONFIRM} AS sure
-  FROM best b JOIN cues c ON c.rid = b.rid AND c.no = b.no LEFT JOIN overlap o ON o.rid = b.rid AND o.no = b.no
+  SELECT b.rid, c.para, b.name, b.name <> 'unknown' AND b.p >= {LEAST} AND o.o >= {CONFIRM} AND o.o > r.o AS sure
+  FROM best b JOIN cues c ON c.rid = b.rid AND c.no = b.no LEFT JOIN overlap o ON o.rid = b.rid AND o.no = b.no AND o.k = b.k
+  LEFT JOIN rival r ON r.rid = b.rid AND r.no = b.no
 ), per AS (
   SELECT rid, count(DISTINCT para) AS n_cues, array_to_string(list_sort(list(DISTINCT name) FILTER (sure)), ',') AS families,
-         count(DISTINCT para) FILTER (sure) AS n_confirmed, count(DISTINCT para) - count(DISTINCT para) FILTER (sure) AS n_unknown
+         count(DISTINCT para) FILTER (coalesce(sure, false)) AS n_confirmed, count(DISTINCT para) - count(DISTINCT para) FILTER (coalesce(sure, false)) AS n_unknown
   FROM found GROUP BY rid
 ), filled AS (SELECT rid, count(*) AS n FROM paras GROUP BY rid)
 SELECT doc_id, CAST(coalesce(f.n, 0) AS BIGINT) AS n_paragraphs, CAST(coalesce(n_cues, 0) AS BIGINT) AS n_cues,
