@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, keyed
+from .common import ascii_lower, keyed, spare
 
 WORDS = 10
 #: Everything but digits, a-z and code points above 7F (A-Z are lower-cased before).
@@ -69,7 +69,7 @@ def contamination(
     )
     hits = each.join(table, aligned, "left").where("gram is not null or pos is null or pos = 0")
     span = F.when(F.col("gram").isNotNull(), F.struct(begin.alias("start"), F.col("len").alias("length")))
-    per = hits.groupBy("row", "id", "n_words").agg(F.collect_set(span).alias("spans"), F.collect_list("items").alias("items"))
+    per = hits.groupBy("row", "id", "n_words").agg(F.collect_set(span).alias("spans"), F.collect_set("items").alias("items"))
     covered = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))
     per = per.withColumns(
         {"n_hit": F.size(F.array_distinct(covered)).cast("long"), "items": F.array_sort(F.array_distinct(F.flatten("items")))}
@@ -86,10 +86,14 @@ def contamination(
 
 
 def decontaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark window; rows that share an id are told apart."""
-    rows = keyed(docs)
-    found = contamination(rows, bench, "_row", text_col, n).where("contaminated")
-    return rows.join(found.select("_row"), "_row", "left_anti").select(*docs.columns)
+    """``docs`` without the rows that hold a benchmark window; rows that share an id are told apart.
+
+    Null, empty and wordless texts stay; other columns stay, whatever their names.
+    """
+    row = spare(docs.columns, "_row")
+    rows = keyed(docs, row)
+    found = contamination(rows.select(row, text_col), bench, row, text_col, n).where("contaminated")
+    return rows.join(found.select(row), row, "left_anti").select(*docs.columns)
 
 
 CONTAMINATION_SQL = r"""

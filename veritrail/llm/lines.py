@@ -15,9 +15,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, mix, packed, powers, prefix_hash, row_chunks, slice_hash, written
+from .common import keyed, mix, packed, powers, prefix_hash, row_chunks, slice_hash, spare, written
 
-#: Lines (stripped) of fewer code points count as repeats only if equal.
+#: By default lines (stripped) of fewer code points count as repeats only if equal; 1 compares all.
 MIN_CHARS = 16
 SEEN = 1 << 18
 _SPACE = np.array([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D], dtype=np.uint32)
@@ -67,46 +67,50 @@ def _tagged(h, length, tag):
     return mix(h ^ mix(length.astype(np.uint64) * np.uint64(4) + np.uint64(tag)))
 
 
-def _occurrences(batches):
+def _occurrences(least):
     """(doc, line, h, keys): every line's hash, and the keys of its halves where it is long enough.
 
     A task gives the keys of a line that it remembers once.
     """
-    import pyarrow as pa
 
-    seen: set[int] = set()
-    for batch in batches:
-        data, offsets = packed(batch.column(1))
-        for lo, hi in row_chunks(offsets):
-            points, heads = _code_points(data, offsets, lo, hi)
-            start, end, row, number = _line_spans(points, heads)
-            size, sums = end - start, _sums(points)
-            h = _signed(_tagged(slice_hash(sums, start, end), size, 0))
-            new = size >= MIN_CHARS
-            for k in np.flatnonzero(new).tolist():
-                x = int(h[k])
-                if x in seen:
-                    new[k] = False
-                    continue
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(x)
-            keys = np.empty((int(new.sum()), 4), dtype=np.uint64)
-            for shorter in (0, 1):  # as the line of n characters, and as the longer of n and n + 1
-                n = size[new] - shorter
-                cut = n // 2
-                keys[:, 2 * shorter] = _tagged(slice_hash(sums, start[new], start[new] + cut), n, 1)
-                keys[:, 2 * shorter + 1] = _tagged(slice_hash(sums, end[new] - (n - cut), end[new]), n, 2)
-            lists = np.concatenate([[0], np.cumsum(4 * new)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(lo, hi - lo).take(pa.array(row)),
-                    pa.array(number.astype(np.int32)),
-                    pa.array(h),
-                    pa.ListArray.from_arrays(pa.array(lists), pa.array(_signed(keys.ravel()))),
-                ],
-                names=["doc", "line", "h", "keys"],
-            )
+    def run(batches):
+        import pyarrow as pa
+
+        seen: set[int] = set()
+        for batch in batches:
+            data, offsets = packed(batch.column(1))
+            for lo, hi in row_chunks(offsets):
+                points, heads = _code_points(data, offsets, lo, hi)
+                start, end, row, number = _line_spans(points, heads)
+                size, sums = end - start, _sums(points)
+                h = _signed(_tagged(slice_hash(sums, start, end), size, 0))
+                new = size >= least
+                for k in np.flatnonzero(new).tolist():
+                    x = int(h[k])
+                    if x in seen:
+                        new[k] = False
+                        continue
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(x)
+                keys = np.empty((int(new.sum()), 4), dtype=np.uint64)
+                for shorter in (0, 1):  # as the line of n characters, and as the longer of n and n + 1
+                    n = size[new] - shorter
+                    cut = n // 2
+                    keys[:, 2 * shorter] = _tagged(slice_hash(sums, start[new], start[new] + cut), n, 1)
+                    keys[:, 2 * shorter + 1] = _tagged(slice_hash(sums, end[new] - (n - cut), end[new]), n, 2)
+                lists = np.concatenate([[0], np.cumsum(4 * new)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(lo, hi - lo).take(pa.array(row)),
+                        pa.array(number.astype(np.int32)),
+                        pa.array(h),
+                        pa.ListArray.from_arrays(pa.array(lists), pa.array(_signed(keys.ravel()))),
+                    ],
+                    names=["doc", "line", "h", "keys"],
+                )
+
+    return run
 
 
 def _variants(batches):
@@ -140,39 +144,42 @@ def _variants(batches):
             )
 
 
-def _texts(batches):
-    import pyarrow as pa
+def _texts(least):
+    def run(batches):
+        import pyarrow as pa
 
-    for batch in batches:
-        data, offsets = packed(batch.column(1))
-        for lo, hi in row_chunks(offsets):
-            points, heads = _code_points(data, offsets, lo, hi)
-            start, end, row, number = _line_spans(points, heads)
-            long = end - start >= MIN_CHARS
-            start, end, row, number = start[long], end[long], row[long], number[long]
-            whole = points.tobytes().decode("utf-32-le")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(lo, hi - lo).take(pa.array(row)),
-                    pa.array(number.astype(np.int32)),
-                    pa.array([whole[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)], pa.string()),
-                ],
-                names=["doc", "line", "text"],
-            )
+        for batch in batches:
+            data, offsets = packed(batch.column(1))
+            for lo, hi in row_chunks(offsets):
+                points, heads = _code_points(data, offsets, lo, hi)
+                start, end, row, number = _line_spans(points, heads)
+                long = end - start >= least
+                start, end, row, number = start[long], end[long], row[long], number[long]
+                whole = points.tobytes().decode("utf-32-le")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(lo, hi - lo).take(pa.array(row)),
+                        pa.array(number.astype(np.int32)),
+                        pa.array([whole[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)], pa.string()),
+                    ],
+                    names=["doc", "line", "text"],
+                )
 
+    return run
 
-def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc, line, h, exact, near) for every line that is not blank.
 
     Lines are split at line feeds and stripped of ASCII white space; ``line`` counts from 0. The
     earliest occurrence is the one of smallest (doc, line), a null id first. ``exact``: an equal
     line stands earlier. ``near``: the line differs by one inserted, deleted or replaced code
-    point from a line that stands earlier (both of MIN_CHARS code points or more). Rows of one id
-    are one document's rows: equal lines at the same number are the same occurrence.
+    point from a line that stands earlier (both of ``min_chars`` code points or more). An id must name
+    one row: the functions below give rows numbers of their own.
     """
     docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema["doc"].dataType.simpleString()
-    occ = written(docs.mapInArrow(_occurrences, f"doc {kind}, line int, h long, keys array<long>"), "occurrences")
+    occ = written(docs.mapInArrow(_occurrences(min_chars), f"doc {kind}, line int, h long, keys array<long>"), "occurrences")
     place = F.struct("doc", "line")
     first = occ.groupBy("h").agg(F.min(place).alias("first"))
 
@@ -185,7 +192,7 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     spots = first.where("flag").select("h", F.col("first.doc").alias("d"), F.col("first.line").alias("l"))
     wanted = spots.groupBy("d").agg(F.count("*").alias("lines"))
-    texts = docs.join(wanted, F.col("doc").eqNullSafe(F.col("d")), "left_semi").mapInArrow(_texts, f"doc {kind}, line int, text string")
+    texts = docs.join(wanted, F.col("doc").eqNullSafe(F.col("d")), "left_semi").mapInArrow(_texts(min_chars), f"doc {kind}, line int, text string")
     texts = written(
         spots.join(texts, F.col("doc").eqNullSafe(F.col("d")) & (F.col("line") == F.col("l"))).select("h", "doc", "line", "text"),
         "texts",
@@ -229,51 +236,63 @@ def _near_lines(texts: DataFrame) -> DataFrame:
     )
 
 
-def line_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per id: n_lines, n_exact and n_near (dropped for either reason), n_kept.
+def _numbered(docs: DataFrame, id_col: str, text_col: str):
+    """(rows, name of their number, marked lines with doc = (id, number)): each row is a document."""
+    row = spare(docs.columns, "_row")
+    rows = keyed(docs, row)
+    key = F.struct(F.col(id_col).alias("id"), F.col(row).alias("row"))
+    return rows, row, rows.select(key.alias("key"), F.col(text_col).alias("text"))
+
+
+def line_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+    """One row per row: id, n_lines, n_exact and n_near (dropped for either reason), n_kept.
 
-    Null, empty and blank texts have no lines.
+    Null, empty and blank texts have no lines. Rows that share an id, or have none, are documents
+    of their own, in any order among them; the earliest line is the one of the smallest id, null first.
     """
-    marked = line_table(docs, id_col, text_col)
-    sums = marked.groupBy("doc").agg(
+    rows, row, lines = _numbered(docs.select(id_col, text_col), id_col, text_col)
+    marked = line_table(lines, "key", "text", min_chars)
+    sums = marked.groupBy(F.col("doc.row").alias("at")).agg(
         F.count("*").alias("n_lines"),
         F.count_if("exact").alias("n_exact"),
         F.count_if(~F.col("exact") & F.col("near")).alias("n_near"),
     )
-    ids = docs.select(F.col(id_col).alias("id")).distinct()
-    out = ids.join(sums, F.col("id").eqNullSafe(F.col("doc")), "left").na.fill(0, ["n_lines", "n_exact", "n_near"])
+    out = rows.select(F.col(id_col).alias("id"), F.col(row).alias("row")).join(sums, F.col("row") == F.col("at"), "left")
+    out = out.na.fill(0, ["n_lines", "n_exact", "n_near"])
     return out.select(
         F.col("id").alias(id_col), "n_lines", "n_exact", "n_near", (F.expr("n_lines - n_exact - n_near")).alias("n_kept")
     )
 
 
-def deduped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str | None = None) -> DataFrame:
+def deduped_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str | None = None, min_chars: int = MIN_CHARS
+) -> DataFrame:
     """``docs`` without the lines that repeat an earlier one; blank lines stay where they are.
 
     A document all of whose lines stood earlier (it had some) is left out; others keep their row,
     null and empty texts as they are. Each row is a document of its own, whatever its id; of rows
-    that share an id any may count as the earlier one.
+    that share an id any may count as the earlier one. Other columns stay, whatever their names.
     """
-    rows = keyed(docs)
-    marked = line_table(rows.select(F.struct(F.col(id_col).alias("id"), F.col("_row").alias("row")).alias("_key"), text_col), "_key", text_col)
-    gone = (
-        marked.groupBy(F.col("doc.row").alias("_row"))
+    rows, row, lines = _numbered(docs, id_col, text_col)
+    marked = line_table(lines, "key", "text", min_chars)
+    gone, whole = spare(rows.columns, "_gone"), spare(rows.columns, "_whole")
+    lost = (
+        marked.groupBy(F.col("doc.row").alias(row))
         .agg(
-            F.array_sort(F.collect_list(F.when(F.col("exact") | F.col("near"), F.col("line")))).alias("_gone"),
-            F.bool_and(F.col("exact") | F.col("near")).alias("_all"),
+            F.array_sort(F.collect_list(F.when(F.col("exact") | F.col("near"), F.col("line")))).alias(gone),
+            F.bool_and(F.col("exact") | F.col("near")).alias(whole),
         )
-        .where(F.size("_gone") > 0)
+        .where(F.size(gone) > 0)
     )
-    names = docs.columns
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    out = rows.join(gone, "_row", "left").where("not coalesce(_all, false)")
-    out = out.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(text))
+    split = F.split(F.col(text_col), "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(gone))
+    text = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
+    out = rows.join(lost, row, "left").where(~F.coalesce(F.col(whole), F.lit(False)))
+    out = out.withColumn(text_col, F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(text))
     if n_chars_col:
-        size = F.when(F.col("_gone").isNull(), F.col(n_chars_col)).otherwise(F.length(text_col))
+        size = F.when(F.col(gone).isNull(), F.col(n_chars_col)).otherwise(F.length(text_col))
         out = out.withColumn(n_chars_col, size.cast(docs.schema[n_chars_col].dataType))
-    return out.select(*names)
+    return out.select(*docs.columns)
 
 
 #: The same result in DuckDB, by deleting every position of every line.
@@ -307,5 +326,5 @@ cuts AS (
 SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_exact, 0) AS BIGINT) AS n_exact,
        CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
        CAST(coalesce(n_lines - n_exact - n_near, 0) AS BIGINT) AS n_kept
-FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN sums s ON s.doc_id IS NOT DISTINCT FROM d.doc_id
+FROM documents d LEFT JOIN sums s ON s.doc_id IS NOT DISTINCT FROM d.doc_id
 """
