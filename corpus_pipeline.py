@@ -12,41 +12,44 @@ def _table(spark, sf_dir, name):
 
 
 def drop_toxic(spark, docs, sf_dir):
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects go; null and empty texts score as an empty word."""
     return toxicity.without_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
 def drop_lines(spark, docs, sf_dir):
-    """Lines that repeat an earlier one go, and documents made of such lines alone."""
+    """Lines that repeat an earlier one go, and documents made of such lines alone; documents without lines stay."""
     return lines.deduped_lines(docs, n_chars_col="n_chars")
 
 
 def drop_near_copies(spark, docs, sf_dir):
     """One document of each class of near copies stays: the one of the smallest id, rows without id last.
 
-    Each row is a document of its own; rows that share an id are told apart.
+    Each row is a document of its own; rows that share an id are told apart. Texts without words stay.
     """
-    rows = common.keyed(docs)
-    classes = jaccard.shingle_classes(rows, id_col="_row").select("_row", "component_id")
-    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    kept = rows.select("_row", "doc_id").join(classes, "_row").groupBy("component_id").agg(F.min(place).alias("first"))
-    return rows.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(*docs.columns)
+    row = common.spare(docs.columns, "_row")
+    rows = common.keyed(docs, row)
+    classes = jaccard.shingle_classes(rows.select(row, "text"), id_col=row).select(row, F.col("component_id").alias("class"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    first = rows.select("doc_id", row).join(classes, row).groupBy("class").agg(F.min(place).alias("first"))
+    return rows.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def drop_benchmark(spark, docs, sf_dir):
-    """Documents that hold a window of the benchmark go."""
+    """Documents that hold a window of the benchmark go; texts without words stay."""
     return decontam.decontaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark, docs, sf_dir):
-    """The mix: documents that it takes, with the copies and words taken.
+    """The mix: documents that it takes, with the copies and words taken, each row for itself.
 
-    Rows that share an id share the copies of the one that is taken most.
+    Columns of ``docs`` that are called like the mix's own give way to them.
     """
-    taken = mixing.mixed(docs).where("copies > 0").groupBy("doc_id")
-    taken = taken.agg(*[F.max(c).alias(c) for c in ("size", "source_size", "target", "taken", "copies")])
-    taken = taken.withColumnRenamed("doc_id", "_id")
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    row = common.spare(docs.columns, "_row")
+    rows = common.keyed(docs, row)
+    own = ("size", "source_size", "target", "taken", "copies")
+    taken = mixing.mixed(rows.select(row, "text", "source"), id_col=row).where("copies > 0").select(row, *own)
+    kept = [c for c in docs.columns if c.lower() not in own]
+    return rows.select(row, *kept).join(taken, row).drop(row)
 
 
 STAGES = [
