@@ -1,9 +1,11 @@
 """Column functions of the cleaning and signal rules; no I/O, no Python in the plan."""
 
-from __future__ import annotations
+import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import fixed
 
@@ -42,8 +44,30 @@ def standard_phone(c) -> Column:
     return F.when(home != "", F.concat(F.lit("+44"), home)).otherwise(out)
 
 
+def _compatible(c) -> Column:
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+
+    return F.pandas_udf(run, StringType())(c)
+
+
+def clean_skill(c) -> Column:
+    """Compatibility forms (NFKC) made plain, white space squeezed; null is empty.
+
+    There is no built-in for NFKC: only values beyond ASCII go through Arrow, the others are null there.
+    """
+    value = F.coalesce(c, F.lit(""))
+    plain = F.octet_length(value) == F.char_length(value)
+    return squeezed(F.when(plain, value).otherwise(_compatible(F.when(~plain, value))))
+
+
 def skill_key(c) -> Column:
-    return F.lower(squeezed(F.coalesce(c, F.lit(""))))
+    return F.lower(clean_skill(c))
+
+
+def lookup_key(c) -> Column:
+    """Trimmed, without case (sharp s as ss); white space inside stays as it is."""
+    return F.replace(F.lower(trimmed(F.coalesce(c, F.lit("")))), F.lit("ß"), F.lit("ss"))
 
 
 def standard_title(c) -> Column:
@@ -87,19 +111,18 @@ def city_of(parts: Column, country: Column) -> Column:
     return F.when(city != "", city)
 
 
-def profile_hits(c) -> Column:
-    """How many of the technical words a text holds."""
-    low = F.lower(F.coalesce(c, F.lit("")))
-    words = F.array(*[F.lit(w) for w in fixed.profile_words()])
-    return F.size(F.filter(words, lambda w: F.contains(low, w)))
+def profile_hits(low) -> Column:
+    """How many of the technical words a lower-cased text holds; give it as a column, which is then lowered once."""
+    return sum((F.contains(low, F.lit(w)).cast("int") for w in fixed.PROFILE_WORDS), F.lit(0))
 
 
-def profile_type(c) -> Column:
-    return F.when(profile_hits(c) >= fixed.PROFILE_LEAST, "technical").otherwise("non_technical")
+def profile_type(low) -> Column:
+    """The profile of a lower-cased text; null is not technical."""
+    return F.when(profile_hits(low) >= fixed.PROFILE_LEAST, "technical").otherwise("non_technical")
 
 
 def skill_category(c) -> Column:
-    pairs = [F.lit(x) for kv in fixed.skill_categories().items() for x in kv]
+    pairs = [F.lit(x) for name, skills in fixed.SKILL_CATEGORIES.items() for s in skills for x in (s, name)]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(trimmed(F.coalesce(c, F.lit(""))))), F.lit("other"))
 
 

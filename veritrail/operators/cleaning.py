@@ -12,20 +12,30 @@ class ReferenceConflict(ValueError):
     """A reference key with more than one value."""
 
 
-def checked_lookup(dim: DataFrame, key: str, value: str) -> DataFrame:
-    """(lookup_key, value) of a reference table; blank keys and null values are skipped, conflicts raise."""
-    rows = dim.select(T.skill_key(F.col(key)).alias("lookup_key"), F.col(value).alias(value)).where("lookup_key <> ''")
-    rows = rows.where(F.col(value).isNotNull())
-    bad = conflicts(dim, key, value).limit(5).collect()
+def lookup(dim: DataFrame, key: str, value: str, form=T.lookup_key) -> DataFrame:
+    """(lookup_key, value) of a reference table; blank keys and null values are skipped."""
+    rows = dim.select(form(F.col(key)).alias("lookup_key"), F.col(value).alias(value))
+    return rows.where(F.col(value).isNotNull() & (F.col("lookup_key") != "")).distinct()
+
+
+def checked_lookup(dim: DataFrame, key: str, value: str, form=T.lookup_key) -> DataFrame:
+    """The lookup of a reference table; a key with more than one value raises when it is used."""
+    per = lookup(dim, key, value, form).groupBy("lookup_key").agg(F.min(value).alias(value), F.count("*").alias("n"))
+    told = F.raise_error(F.concat(F.lit(f"{key} means more than one {value}: "), "lookup_key")).cast("string")
+    return per.select("lookup_key", F.when(F.col("n") > 1, told).otherwise(F.col(value)).alias(value))
+
+
+def require_unambiguous(dim: DataFrame, key: str, value: str, form=T.lookup_key) -> None:
+    """Raises with up to five keys that mean more than one value: the check of a load."""
+    bad = conflicts(dim, key, value, form).limit(5).collect()
     if bad:
         raise ReferenceConflict(f"{key}: {', '.join(r['lookup_key'] for r in bad)}")
-    return rows.distinct()
 
 
-def conflicts(dim: DataFrame, key: str, value: str) -> DataFrame:
+def conflicts(dim: DataFrame, key: str, value: str, form=T.lookup_key) -> DataFrame:
     """Keys that mean more than one value, with how many."""
-    rows = dim.select(T.skill_key(F.col(key)).alias("lookup_key"), F.col(value).alias("v")).where("lookup_key <> '' and v is not null")
-    return rows.groupBy("lookup_key").agg(F.count_distinct("v").alias("n_values")).where("n_values > 1")
+    per = lookup(dim, key, value, form).groupBy("lookup_key").agg(F.count("*").alias("n_values"))
+    return per.where("n_values > 1")
 
 
 def candidates(raw: DataFrame) -> DataFrame:
@@ -45,7 +55,7 @@ def candidates(raw: DataFrame) -> DataFrame:
 
 def skills(raw: DataFrame, dim: DataFrame) -> DataFrame:
     """Skills with their canonical name, or null; the raw name stays untouched."""
-    known = checked_lookup(dim, "alias", "canonical_skill")
+    known = checked_lookup(dim, "alias", "canonical_skill", T.skill_key)
     rows = raw.withColumn("lookup_key", T.skill_key(F.col("skill_name")))
     return rows.join(known, "lookup_key", "left").select(
         "skill_id", "submission_id", F.coalesce("skill_name", F.lit("")).alias("raw_skill"), F.col("canonical_skill").alias("normalized_skill")
@@ -54,7 +64,7 @@ def skills(raw: DataFrame, dim: DataFrame) -> DataFrame:
 
 def unmatched(rows: DataFrame, k: int) -> DataFrame:
     """The k most frequent skills without a canonical name, ties by name."""
-    name = T.squeezed(F.col("raw_skill")).alias("skill")
+    name = T.clean_skill(F.col("raw_skill")).alias("skill")
     return rows.where("normalized_skill is null").groupBy(name).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "skill").limit(k)
 
 
@@ -64,8 +74,8 @@ def work_experience(raw: DataFrame, titles: DataFrame, locations: DataFrame) ->
     rows = raw.withColumn("parts", T.location_parts(F.col("location")))
     rows = rows.withColumns(
         {
-            "title_key": T.skill_key(F.col("job_title")),
-            "place_key": F.lower(F.try_element_at("parts", F.lit(-1))),
+            "title_key": T.lookup_key(F.col("job_title")),
+            "place_key": T.lookup_key(F.try_element_at("parts", F.lit(-1))),
         }
     )
     rows = rows.join(levels, "title_key", "left").join(countries, "place_key", "left")
@@ -84,9 +94,20 @@ def work_experience(raw: DataFrame, titles: DataFrame, locations: DataFrame) ->
         F.col("country").alias("location_country"),
         T.is_remote(F.coalesce("location", F.lit(""))).alias("is_remote"),
         "description",
+        (F.col("company_website") if "company_website" in raw.columns else F.lit(None).cast("string")).alias("company_website"),
     )
 
 
+def candidate_summary(rows: DataFrame) -> DataFrame:
+    """Rows, invalid addresses, invalid numbers."""
+    return rows.agg(F.count("*").alias("n_rows"), F.count_if(~F.col("is_email_valid")).alias("invalid_emails"), F.count_if(~F.col("is_phone_valid")).alias("invalid_phones"))
+
+
+def coverage(dim: DataFrame) -> DataFrame:
+    """Aliases and canonical skills of a taxonomy."""
+    return dim.agg(F.count_distinct(T.skill_key(F.col("alias"))).alias("n_aliases"), F.count_distinct("canonical_skill").alias("n_canonical"))
+
+
 def date_problems(rows: DataFrame, as_of) -> DataFrame:
     """(experience_id, problem): one row for every problem of a role's dates; a label can come twice."""
     today = F.lit(as_of).cast("date")

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import bare_json, first_spellings, skill_category, trimmed
+from ..functions.text import bare_json, first_spellings, skill_category
+
+# Most code points of each field after trimming, and values where a field is missing.
+LENGTHS = {"candidate_name": 200, "email": 200, "phone": 50, "linkedin": 500, "github": 500}
+ROLE_LENGTHS = {"job_title": 200, "company_name": 200, "company_website": 500, "location": 200, "start_date": 50, "end_date": 50, "description": 10000}
+DEFAULTS = {"end_date": "Present"}
+TRUE, FALSE = ("1", "true", "t", "yes", "y", "on"), ("0", "false", "f", "no", "n", "off")
+MOST_SKILLS = 200
 
 CV_SCHEMA = (
-    "candidate_name string, email string, phone string, linkedin string, github string, "
-    "work_experience array<struct<job_title string, company_name string, company_website string, location string, start_date string, "
-    "end_date string, is_current boolean, description string>>, skills array<string>"
+    ", ".join(f"{c} string" for c in LENGTHS)
+    + ", work_experience array<struct<"
+    + ", ".join(f"{c}:string" for c in ROLE_LENGTHS)
+    + ", is_current:boolean>>, skills array<string>"
 )
-LENGTHS = {"candidate_name": 200, "email": 200, "phone": 50, "linkedin": 500, "github": 500}
-ROLE_LENGTHS = {"job_title": 200, "company_name": 200, "company_website": 200, "location": 200, "start_date": 50, "end_date": 50, "description": 10000}
 
 
 def actions(now: DataFrame, prior: DataFrame) -> DataFrame:
@@ -26,29 +34,88 @@ def actions(now: DataFrame, prior: DataFrame) -> DataFrame:
     return now.join(before, "submission_id", "left").select("submission_id", "content_hash", action.alias("action"))
 
 
+class Rejected(ValueError):
+    """A reply that does not have the declared shape."""
+
+
+def _text(record: dict, field: str, most: int, taboo=None) -> str:
+    if field not in record:
+        if taboo is not None:
+            raise Rejected(f"{field} is missing")
+        return DEFAULTS.get(field, "")
+    value = record[field]
+    if not isinstance(value, str):
+        raise Rejected(f"{field} is no text")
+    value = value.strip()
+    if len(value) > most or taboo is not None and (not value or value.lower() in taboo):
+        raise Rejected(f"{field} has a length or value that is not allowed")
+    return value
+
+
+def _flag(value) -> bool:
+    word = value.strip().lower() if isinstance(value, str) else "1" if value == 1 else "0" if value == 0 else ""
+    if isinstance(value, bool):
+        return value
+    if word not in TRUE + FALSE:
+        raise Rejected("is_current is no truth value")
+    return word in TRUE
+
+
+def _list(record: dict, field: str) -> list:
+    value = record.get(field, [])
+    if not isinstance(value, list):
+        raise Rejected(f"{field} is no list")
+    return value
+
+
+def read_reply(reply: str | None) -> dict:
+    """The record of one reply; raises Rejected if any field of it, or of any role, is not as declared."""
+    try:
+        record = json.loads(reply or "")
+    except ValueError as e:
+        raise Rejected(f"no JSON: {e}") from e
+    if not isinstance(record, dict):
+        raise Rejected("no object")
+    out: dict = {c: _text(record, c, n, fixed.NAME_PLACEHOLDERS if c == "candidate_name" else None) for c, n in LENGTHS.items()}
+    roles = []
+    for role in _list(record, "work_experience"):
+        if not isinstance(role, dict):
+            raise Rejected("a role is no object")
+        named = {c: _text(role, c, n, fixed.ROLE_PLACEHOLDERS if c in ("job_title", "company_name") else None) for c, n in ROLE_LENGTHS.items()}
+        roles.append(named | {"is_current": _flag(role.get("is_current", False))})
+    skills = _list(record, "skills")
+    if len(skills) > MOST_SKILLS or not all(isinstance(x, str) for x in skills):
+        raise Rejected("skills are too many or no texts")
+    return out | {"work_experience": roles, "skills": skills}
+
+
+def _read(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        rows = []
+        for key, reply in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            try:
+                rows.append((key, read_reply(reply), True, None))
+            except Rejected as e:
+                rows.append((key, None, False, str(e)))
+        role = pa.struct([*[(c, pa.string()) for c in ROLE_LENGTHS], ("is_current", pa.bool_())])
+        cv = pa.struct([*[(c, pa.string()) for c in LENGTHS], ("work_experience", pa.list_(role)), ("skills", pa.list_(pa.string()))])
+        kinds = (pa.string(), cv, pa.bool_(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["submission_id", "cv", "is_valid", "error"])
+
+
 def parsed(replies: DataFrame) -> DataFrame:
-    """(submission_id, cv, is_valid): replies read as JSON; one bad field or role rejects the whole."""
-    rows = replies.withColumn("cv", F.from_json(bare_json(F.col("reply")), CV_SCHEMA))
-    raw = F.try_parse_json(bare_json(F.col("reply")))
-    kind = lambda path: F.schema_of_variant(F.try_variant_get(raw, path, "variant"))
-    fits = lambda c, n: c.isNull() | (F.char_length(trimmed(c)) <= n)
-    name = trimmed(F.col("cv.candidate_name"))
-    valid = raw.isNotNull() & F.coalesce((name != "") & ~F.lower(name).isin(*fixed.NAME_PLACEHOLDERS), F.lit(False))
-    for field, most in LENGTHS.items():
-        valid &= fits(F.col(f"cv.{field}"), most) & F.coalesce(kind(f"$.{field}").isin("STRING", "VOID"), F.lit(True))
-
-    def role_ok(r):
-        ok = F.lit(True)
-        for field in ("job_title", "company_name"):
-            v = trimmed(r[field])
-            ok &= F.coalesce((v != "") & ~F.lower(v).isin(*fixed.ROLE_PLACEHOLDERS), F.lit(False))
-        for field, most in ROLE_LENGTHS.items():
-            ok &= fits(r[field], most)
-        return ok
-
-    valid &= F.coalesce(F.forall("cv.work_experience", role_ok), F.lit(True))
-    valid &= F.coalesce(F.size("cv.skills"), F.lit(0)) <= 200
-    return rows.select("submission_id", "cv", F.coalesce(valid, F.lit(False)).alias("is_valid"))
+    """(submission_id, cv, is_valid, error): replies read as JSON once; one bad field or role rejects the whole.
+
+    Arrow batches and Python, as ``from_json`` turns numbers into text and cannot tell null from missing.
+    """
+    bare = replies.select("submission_id", bare_json(F.col("reply")).alias("reply"))
+    return bare.mapInArrow(_read, f"submission_id string, cv struct<{CV_SCHEMA.replace(' string', ':string').replace(' array', ':array')}>, is_valid boolean, error string")
+
+
+def candidate_rows(cvs: DataFrame) -> DataFrame:
+    return cvs.where("is_valid").select("submission_id", *[F.col(f"cv.{c}").alias(c) for c in LENGTHS])
 
 
 def roles(cvs: DataFrame) -> DataFrame:
@@ -56,13 +123,8 @@ def roles(cvs: DataFrame) -> DataFrame:
     return each.select(
         F.concat("submission_id", F.lit("_job"), F.col("pos") + 1).alias("experience_id"),
         "submission_id",
-        trimmed(F.col("r.company_name")).alias("company_name"),
-        trimmed(F.col("r.job_title")).alias("job_title"),
-        F.col("r.start_date").alias("start_date_raw"),
-        F.coalesce("r.end_date", F.lit("Present")).alias("end_date_raw"),
-        F.coalesce("r.is_current", F.lit(False)).alias("is_current"),
-        F.col("r.location").alias("location"),
-        F.col("r.description").alias("description"),
+        *[F.col(f"r.{c}").alias({"start_date": "start_date_raw", "end_date": "end_date_raw"}.get(c, c)) for c in ROLE_LENGTHS],
+        F.col("r.is_current").alias("is_current"),
     )
 
 

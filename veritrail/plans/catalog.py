@@ -286,7 +286,7 @@ _WORK = rf"""WITH w0 AS (SELECT *, {_CLEAN.format("location")} AS loc FROM raw_j
   regexp_replace(regexp_replace(loc, '(?i)^\s*remote\s*[/\-–|]?\s*', ''), '^[ ,]+|[ ,]+$', '', 'g'), ','), lambda p: trim(p)), lambda p: p <> '') AS parts FROM w0),
 w2 AS (SELECT w1.*, c.country, t.seniority_level FROM w1
   LEFT JOIN (SELECT lower(location_token) AS k, country FROM places) c ON c.k = lower(parts[-1])
-  LEFT JOIN (SELECT DISTINCT lower({_CLEAN.format("job_title")}) AS k, seniority_level FROM titles) t ON t.k = lower({_CLEAN.format("job_title")})),
+  LEFT JOIN (SELECT DISTINCT lower(trim(job_title)) AS k, seniority_level FROM titles) t ON t.k = lower(trim(job_title))),
 we AS (SELECT experience_id, submission_id, {_TITLE} AS job_title_standardized, job_title, seniority_level, location, country AS location_country,
   nullif(trim(regexp_replace(CASE WHEN len(parts) = 0 THEN '' WHEN len(parts) = 1 THEN CASE WHEN lower(parts[-1]) = lower(country) THEN '' ELSE parts[-1] END
          ELSE parts[-2] END, '(?i)\s+(office|hq|headquarters)$', '')), '') AS location_city,
@@ -361,8 +361,8 @@ def work_summary(spark, sf_dir):
 
 # ---- bronze ------------------------------------------------------------------------
 
-_WORDS = ", ".join("'" + w.replace("'", "''") + "'" for w in fixed.profile_words())
-_CATEGORY = ", ".join(f"('{s}', '{c}')" for s, c in fixed.skill_categories().items())
+_WORDS = ", ".join("'" + w.replace("'", "''") + "'" for w in fixed.PROFILE_WORDS)
+_CATEGORY = ", ".join(f"('{s}', '{c}')" for c, skills in fixed.SKILL_CATEGORIES.items() for s in skills)
 
 
 @_query(
@@ -371,7 +371,8 @@ ELSE 'non_technical' END AS profile_type FROM texts""",
     "texts",
 )
 def classify_profile(spark, sf_dir):
-    return view(spark, sf_dir, "texts").select("submission_id", T.profile_type(F.col("raw_text")).alias("profile_type"))
+    rows = view(spark, sf_dir, "texts").select("submission_id", F.lower("raw_text").alias("low"))
+    return rows.select("submission_id", T.profile_type(F.col("low")).alias("profile_type"))
 
 
 @_query(
@@ -470,7 +471,7 @@ def _cvs(spark, sf_dir):
 
 @_query(f"SELECT submission_id, {_VALID} AS is_valid FROM replies", "replies")
 def extraction_valid(spark, sf_dir):
-    return _cvs(spark, sf_dir).drop("cv")
+    return _cvs(spark, sf_dir).select("submission_id", "is_valid")
 
 
 @_query(
