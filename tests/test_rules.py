@@ -100,8 +100,10 @@ def test_company_order(spark):
 
 def test_conflicting_reference(spark):
     dim = spark.createDataFrame([("A", "x"), (" a", "y")], "alias string, canonical_skill string")
-    with pytest.raises(cleaning.ReferenceConflict):
-        cleaning.checked_lookup(dim, "alias", "canonical_skill")
+    with pytest.raises(cleaning.ReferenceConflict, match="a"):
+        cleaning.require_unambiguous(dim, "alias", "canonical_skill")
+    with pytest.raises(Exception, match="means more than one"):
+        cleaning.checked_lookup(dim, "alias", "canonical_skill").collect()
 
 
 def test_checks(spark):

@@ -1,0 +1,119 @@
+"""The runs of every layer: land texts, extract entities, clean, signal, verify; clocks and callables are parameters."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import profile_type, trimmed
+from ..sources import files
+from ..sources.tables import Catalog
+from . import cleaning, company, ingest, quality, responsibility, timeline
+
+BRONZE = ["bronze.raw_cv_texts", "bronze.raw_candidates", "bronze.raw_work_experience", "bronze.raw_skills"]
+
+
+def _stamp(at: str):
+    return F.lit(at).cast("timestamp")
+
+
+def land_texts(catalog: Catalog, found: DataFrame, extract: Callable[[bytes], str], now: str, folder: str = "", archive: str | None = None) -> dict[str, int]:
+    """Files (see ``files.documents``) whose content is new or changed become rows of raw_cv_texts.
+
+    Changed documents lose all their rows first; then texts are extracted. Blank texts and files
+    that cannot be read are left out, the latter with their error in bronze.rejected.
+    """
+    prior = catalog.read("bronze.raw_cv_texts").select("submission_id", "content_hash")
+    todo = ingest.actions(found.select("submission_id", "content_hash"), prior).where("action <> 'unchanged'")
+    chosen = catalog.kept(todo, "todo")
+    catalog.delete(BRONZE, chosen.where("action = 'changed'"))
+    read = catalog.kept(files.extracted(found.join(chosen.select("submission_id"), "submission_id", "left_semi"), extract), "texts")
+    catalog.append("bronze.rejected", read.where("error is not null").select("submission_id", "error", _stamp(now).alias("rejected_at")))
+    texts = read.where(F.col("error").isNull() & (trimmed(F.coalesce("raw_text", F.lit(""))) != ""))
+    rows = texts.withColumns({"profile_type": profile_type(F.col("raw_text")), "submission_timestamp": _stamp(now), "folder": F.lit(folder)})
+    if archive:
+        files.archive(texts.select("submission_id", "raw_text"), archive)
+    catalog.append("bronze.raw_cv_texts", rows)
+    return {"cv_texts_count": texts.count()}
+
+
+def open_texts(texts: DataFrame, roles: DataFrame) -> DataFrame:
+    """Technical texts without any role yet."""
+    return texts.where("profile_type <> 'non_technical'").join(roles.select("submission_id"), "submission_id", "left_anti")
+
+
+def land_entities(catalog: Catalog, extract: Callable[[DataFrame], DataFrame], now: str, archive: str | None = None) -> dict[str, int]:
+    """Replies of ``extract`` (submission_id, raw_text -> submission_id, reply) become entity rows; invalid ones are rejected alone."""
+    todo = open_texts(catalog.read("bronze.raw_cv_texts"), catalog.read("bronze.raw_work_experience"))
+    cvs = catalog.kept(ingest.parsed(extract(todo.select("submission_id", "raw_text"))), "cvs")
+    if archive:
+        files.archive(cvs.where("is_valid").select("submission_id", "cv"), archive)
+    out = {
+        "raw_candidates": ingest.candidate_rows(cvs).withColumn("extracted_at", _stamp(now)),
+        "raw_work_experience": ingest.roles(cvs),
+        "raw_skills": ingest.skill_rows(cvs),
+    }
+    for name, rows in out.items():
+        catalog.append(f"bronze.{name}", rows)
+    catalog.append("bronze.rejected", cvs.where("not is_valid").select("submission_id", "error", _stamp(now).alias("rejected_at")))
+    return {f"{name}_count": rows.count() for name, rows in out.items()}
+
+
+def check_bronze(catalog: Catalog) -> DataFrame:
+    """The four checks of the landed tables; a failed blocking one raises."""
+    checks = quality.bronze_checks(*[catalog.read(t) for t in BRONZE])
+    quality.stop_on(checks)
+    return checks
+
+
+def load_reference(catalog: Catalog, skills: str, titles: str, places: str) -> dict[str, int]:
+    """The three reference files replace their tables; an ambiguous key or a bad file raises before anything is replaced."""
+    spark = catalog.spark
+    rows = {"dim_skills": files.skills_taxonomy(spark, skills), "dim_job_titles": files.job_titles(spark, titles)}
+    rows["dim_location_aliases"] = files.location_aliases(spark, places)
+    cleaning.require_unambiguous(rows["dim_skills"], "alias", "canonical_skill", cleaning.T.skill_key)
+    cleaning.require_unambiguous(rows["dim_job_titles"], "job_title", "seniority_level")
+    cleaning.require_unambiguous(rows["dim_location_aliases"], "location_token", "country")
+    for name, df in rows.items():
+        catalog.replace(f"silver.{name}", df)
+    return {name: catalog.read(f"silver.{name}").count() for name in rows}
+
+
+def clean(catalog: Catalog, now: str) -> None:
+    """All silver tables anew from bronze."""
+    read, at = catalog.read, _stamp(now)
+    out = {
+        "silver_candidates": cleaning.candidates(read("bronze.raw_candidates")),
+        "silver_skills": cleaning.skills(read("bronze.raw_skills"), read("silver.dim_skills")),
+        "silver_work_experience": cleaning.work_experience(
+            read("bronze.raw_work_experience"), read("silver.dim_job_titles"), read("silver.dim_location_aliases")
+        ),
+    }
+    for name, rows in out.items():
+        catalog.replace(f"silver.{name}", rows.withColumn("silver_processed_at", at))
+
+
+def signals(catalog: Catalog, as_of: str, now: str) -> DataFrame:
+    """Both signals anew, with the day they hold for, sorted by candidate; (signal, kind, name, n) of what they say."""
+    roles, out = catalog.read("silver.silver_work_experience"), None
+    found = {
+        "signal_timeline_consistency": timeline.signal(roles, as_of).withColumn("as_of_date", F.lit(as_of).cast("date")),
+        "signal_responsibility_mismatch": responsibility.signal(roles),
+    }
+    for name, rows in found.items():
+        catalog.replace(f"gold.{name}", rows.withColumn("evaluated_at", _stamp(now)).orderBy("submission_id"))
+        told = timeline.summary(catalog.read(f"gold.{name}")).select(F.lit(name).alias("signal"), "kind", "name", "n")
+        out = told if out is None else out.union(told)
+    return out
+
+
+def verify_companies(catalog: Catalog, search: Callable[[DataFrame], DataFrame] | None, now: str) -> dict[str, int]:
+    """Roles not verified yet against the register; searches that failed are simply missing from what ``search`` gives, and come again."""
+    roles = catalog.read("silver.silver_work_experience").select("submission_id", "experience_id", "company_name")
+    verdicts, fresh = company.verify(roles, catalog.read("gold.signal_company_verification"), catalog.read("gold.company_search"), search)
+    verdicts = catalog.kept(verdicts.withColumn("verified_at", _stamp(now)), "verdicts")
+    catalog.append("gold.company_search", catalog.kept(fresh, "fresh"))
+    catalog.append("gold.signal_company_verification", verdicts)
+    return {"verified_count": verdicts.count()}

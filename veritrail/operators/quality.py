@@ -46,3 +46,81 @@ def require(counts: DataFrame) -> None:
     row = results(counts).first()
     if not row["passed"]:
         raise CheckFailed(row["description"])
+
+
+# ---- the four checks: (check, n) of what is wrong, severity and whether a run stops --------------
+
+RAW_TEXTS, ENTITY_IDS, CONTENT, SILENT = "raw_cv_texts_is_usable", "entity_ids_are_unique_and_linked", "entity_content_is_present", "every_cv_produced_entities"
+SEVERITY = {RAW_TEXTS: "ERROR", ENTITY_IDS: "ERROR", CONTENT: "WARN", SILENT: "WARN"}
+
+
+def _named(counts: DataFrame, before: str = "", after: str = " blank") -> DataFrame:
+    return counts.select(F.concat(F.lit(before), "column", F.lit(after)).alias("check"), "n")
+
+
+def _counted(rows: DataFrame, name: str) -> DataFrame:
+    return rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), "n")
+
+
+def raw_texts_usable(texts: DataFrame) -> DataFrame:
+    """(check, n): blank ids, texts and hashes, ids that occur more than once."""
+    blank = _named(blank_counts(texts, ["submission_id", "raw_text", "content_hash"]))
+    return blank.union(_counted(duplicate_values(texts, "submission_id"), "duplicate submission_id"))
+
+
+def entity_ids(texts: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(check, n) for tables by name, each with its key: blank and repeated keys, rows of no known document."""
+    out = None
+    for name, (rows, key) in tables.items():
+        blank = blank_counts(rows, [key]).select(F.concat(F.lit(f"{name}: blank "), "column").alias("check"), "n")
+        found = blank.union(_counted(duplicate_values(rows, key), f"{name}: duplicate {key}"))
+        found = found.union(_counted(orphans(rows, texts, "submission_id"), f"{name}: no matching CV"))
+        out = found if out is None else out.union(found)
+    return out
+
+
+def entity_content(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """(check, n) for tables by name, each with the columns that later steps need."""
+    out = None
+    for name, (rows, columns) in tables.items():
+        found = _named(blank_counts(rows, columns), f"{name}: ")
+        out = found if out is None else out.union(found)
+    return out
+
+
+def silent_documents(texts: DataFrame, roles: DataFrame, skills: DataFrame) -> DataFrame:
+    """(passed, description) of the documents that gave neither a role nor a skill, out of all."""
+    lost = without_entities(texts, roles, skills).agg(F.count("*").alias("silent"))
+    both = lost.join(F.broadcast(texts.agg(F.count("*").alias("total"))))  # one row each
+    told = F.concat("silent", F.lit(" of "), "total", F.lit(" CVs produced no work experience and no skills"))
+    fine = F.concat(F.lit("all "), "total", F.lit(" CVs produced entities"))
+    return both.select((F.col("silent") == 0).alias("passed"), F.when(F.col("silent") > 0, told).otherwise(fine).alias("description"))
+
+
+def checked(name: str, result: DataFrame) -> DataFrame:
+    """(check, severity, blocking, passed, description) of one check's result."""
+    level = SEVERITY[name]
+    return result.select(F.lit(name).alias("check"), F.lit(level).alias("severity"), F.lit(level == "ERROR").alias("blocking"), "passed", "description")
+
+
+def bronze_checks(texts: DataFrame, candidates: DataFrame, roles: DataFrame, skills: DataFrame) -> DataFrame:
+    """All four checks of the landed tables, one row each."""
+    keyed = {"raw_candidates": (candidates, "submission_id"), "raw_work_experience": (roles, "experience_id"), "raw_skills": (skills, "skill_id")}
+    needed = {
+        "raw_candidates": (candidates, ["candidate_name"]),
+        "raw_work_experience": (roles, ["company_name", "job_title", "start_date_raw"]),
+        "raw_skills": (skills, ["skill_name"]),
+    }
+    return (
+        checked(RAW_TEXTS, results(raw_texts_usable(texts)))
+        .union(checked(ENTITY_IDS, results(entity_ids(texts, keyed))))
+        .union(checked(CONTENT, results(entity_content(needed))))
+        .union(checked(SILENT, silent_documents(texts, roles, skills)))
+    )
+
+
+def stop_on(checks: DataFrame) -> None:
+    """Raises if a blocking check failed."""
+    bad = [f"{r['check']}: {r['description']}" for r in checks.where("blocking and not passed").collect()]  # a row a check
+    if bad:
+        raise CheckFailed("; ".join(bad))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import text as T
-from ..operators import cleaning, company, ingest, quality, responsibility, timeline
+from ..operators import cleaning, company, ingest, jobs, quality, responsibility, timeline
 from .projection import AS_OF, view, with_views
 
 _Q: dict = {}
@@ -371,8 +371,7 @@ ELSE 'non_technical' END AS profile_type FROM texts""",
     "texts",
 )
 def classify_profile(spark, sf_dir):
-    rows = view(spark, sf_dir, "texts").select("submission_id", F.lower("raw_text").alias("low"))
-    return rows.select("submission_id", T.profile_type(F.col("low")).alias("profile_type"))
+    return view(spark, sf_dir, "texts").select("submission_id", T.profile_type(F.col("raw_text")).alias("profile_type"))
 
 
 @_query(
@@ -514,3 +513,108 @@ def ladder(spark, sf_dir):
 def groundtruth_types(spark, sf_dir):
     words = F.filter(F.split(F.replace("description", F.lit(" "), F.lit("|")), r"\|"), lambda x: x != "")
     return view(spark, sf_dir, "jobs").select("experience_id", F.explode(words).alias("word"))
+
+
+# ---- checks of the landed tables, strict validation, summaries -------------------------
+
+
+def _blank_sql(table: str, column: str) -> str:
+    return f"SELECT count(*) FROM {table} WHERE {column} IS NULL OR trim({column}) = ''"
+
+
+def _twice_sql(table: str, column: str) -> str:
+    return f"SELECT count(*) FROM (SELECT {column} FROM {table} GROUP BY {column} HAVING count(*) > 1)"
+
+
+def _check_sql(name: str, counts: dict[str, str]) -> str:
+    rows = " UNION ALL ".join(f"SELECT '{k}' AS c, ({v}) AS n" for k, v in counts.items())
+    level = quality.SEVERITY[name]
+    return f"""SELECT '{name}' AS "check", '{level}' AS severity, {str(level == "ERROR").lower()} AS blocking, bool_and(n = 0) AS passed,
+coalesce(array_to_string(list_sort(list(concat(c, ' (', n, ' rows)')) FILTER (n > 0)), '; '), '') AS description FROM ({rows})"""
+
+
+_LANDED = {"raw_candidates": ("people", "submission_id"), "raw_work_experience": ("raw_jobs", "experience_id"), "raw_skills": ("raw_skills", "skill_id")}
+_IDS = {f"{t}: blank {k}": _blank_sql(v, k) for t, (v, k) in _LANDED.items()}
+_IDS |= {f"{t}: duplicate {k}": _twice_sql(v, k) for t, (v, k) in _LANDED.items()}
+_IDS |= {
+    f"{t}: no matching CV": f"SELECT count(*) FROM {v} x WHERE NOT EXISTS (SELECT 1 FROM texts y WHERE y.submission_id = x.submission_id)"
+    for t, (v, _) in _LANDED.items()
+}
+_NEEDED = {"raw_candidates": ["candidate_name"], "raw_work_experience": ["company_name", "job_title", "start_date_raw"], "raw_skills": ["skill_name"]}
+_SILENT = """SELECT count(*) FROM texts t WHERE NOT EXISTS (SELECT 1 FROM raw_jobs j WHERE j.submission_id = t.submission_id)
+AND NOT EXISTS (SELECT 1 FROM raw_skills s WHERE s.submission_id = t.submission_id)"""
+
+
+@_query(
+    " UNION ALL ".join(
+        [
+            _check_sql(
+                quality.RAW_TEXTS,
+                {f"{c} blank": _blank_sql("landed", c) for c in ("submission_id", "raw_text", "content_hash")}
+                | {"duplicate submission_id": _twice_sql("landed", "submission_id")},
+            ).replace("FROM landed", "FROM (SELECT *, sha256(raw_text) AS content_hash FROM texts)"),
+            _check_sql(quality.ENTITY_IDS, _IDS),
+            _check_sql(quality.CONTENT, {f"{t}: {c} blank": _blank_sql(_LANDED[t][0], c) for t, cs in _NEEDED.items() for c in cs}),
+            f"""SELECT '{quality.SILENT}', 'WARN', false, silent = 0, CASE WHEN silent > 0 THEN concat(silent, ' of ', total,
+' CVs produced no work experience and no skills') ELSE concat('all ', total, ' CVs produced entities') END
+FROM (SELECT ({_SILENT}) AS silent, (SELECT count(*) FROM texts) AS total)""",
+        ]
+    ),
+    "texts",
+    "people",
+    "raw_jobs",
+    "raw_skills",
+)
+def bronze_checks(spark, sf_dir):
+    texts, *rest = (view(spark, sf_dir, v) for v in ("texts", "people", "raw_jobs", "raw_skills"))
+    return quality.bronze_checks(texts.withColumn("content_hash", F.sha2("raw_text", 256)), *rest)
+
+
+@_query("SELECT submission_id, kind IN (1, 4, 6, 8, 12) AS is_valid FROM odd_replies", "odd_replies")
+def validation_rules(spark, sf_dir):
+    return ingest.parsed(view(spark, sf_dir, "odd_replies")).select("submission_id", "is_valid")
+
+
+@_query(
+    f"""SELECT submission_id, concat('Person ', CAST(user_id AS VARCHAR)) AS candidate_name, '' AS email, '' AS phone, '' AS linkedin, '' AS github
+FROM replies JOIN events USING (event_id) WHERE {_VALID.replace("event_id", "events.event_id")}""",
+    "replies",
+)
+def entity_candidates(spark, sf_dir):
+    return ingest.candidate_rows(_cvs(spark, sf_dir))
+
+
+@_query(
+    f"""SELECT count(*) AS n_rows, count(*) FILTER (NOT ok) AS invalid_emails,
+count(*) FILTER (k NOT IN (0, 2, 3, 4)) AS invalid_phones FROM (SELECT {_EMAIL_OK} AS ok, CAST(replace(submission_id, 'cv_', '') AS BIGINT) % 6 AS k FROM people)""",
+    "people",
+)
+def candidate_summary(spark, sf_dir):
+    return cleaning.candidate_summary(cleaning.candidates(view(spark, sf_dir, "people")))
+
+
+@_query("SELECT count(DISTINCT lower(alias)) AS n_aliases, count(DISTINCT canonical_skill) AS n_canonical FROM dim_skills", "dim_skills")
+def taxonomy_coverage(spark, sf_dir):
+    return cleaning.coverage(view(spark, sf_dir, "dim_skills"))
+
+
+@_query(
+    f"""SELECT submission_id FROM texts t WHERE len(list_filter([{_WORDS}], lambda w: contains(lower(raw_text), w))) >= 3
+AND NOT EXISTS (SELECT 1 FROM raw_jobs j WHERE j.submission_id = t.submission_id)""",
+    "texts",
+    "raw_jobs",
+)
+def open_texts(spark, sf_dir):
+    rows = view(spark, sf_dir, "texts").withColumn("profile_type", T.profile_type(F.col("raw_text")))
+    return jobs.open_texts(rows, view(spark, sf_dir, "raw_jobs")).select("submission_id")
+
+
+@_query(
+    f"""{_CLAIMS}, c2 AS (SELECT submission_id, CASE WHEN any_value(k) = 0 THEN 'not_evaluated' WHEN bool_or(evidence = 'proven') THEN 'not_confirmed'
+WHEN bool_or(evidence = 'suggestive') THEN 'possible' ELSE 'confirmed' END AS confidence
+FROM (SELECT submission_id, count(seniority_level) AS k FROM cl GROUP BY ALL) LEFT JOIN rf USING (submission_id) GROUP BY ALL)
+SELECT 'confidence' AS kind, confidence AS name, count(*) AS n FROM c2 GROUP BY ALL UNION ALL SELECT 'finding', name, count(*) FROM rf GROUP BY ALL""",
+    "jobs",
+)
+def resp_summary(spark, sf_dir):
+    return timeline.summary(responsibility.signal(view(spark, sf_dir, "jobs")))

@@ -73,14 +73,14 @@ SELECT concat('cv_', CAST(c_custkey AS VARCHAR(20))) AS submission_id, concat('
        concat(' linkedin.com/in/', CAST(c_custkey AS VARCHAR(20))) AS linkedin, CAST(NULL AS VARCHAR(9)) AS github
 FROM customer""",
     "raw_skills": """
-SELECT concat('s', CAST(p_partkey AS VARCHAR(20))) AS skill_id, concat('cv_', CAST(p_partkey % 500 AS VARCHAR(9))) AS submission_id,
+SELECT concat('s', CAST(p_partkey AS VARCHAR(20))) AS skill_id, concat('cv_', CAST(p_partkey % 3000 AS VARCHAR(9))) AS submission_id,
        CASE p_partkey % 4 WHEN 0 THEN upper(p_name) WHEN 1 THEN replace(p_name, ' ', '   ') WHEN 2 THEN concat(' ', p_name) ELSE p_name END AS skill_name
 FROM part""",
     "dim_skills": """
 SELECT DISTINCT p_name AS alias, upper(p_name) AS canonical_skill FROM part WHERE length(p_name) % 2 = 0""",
     "texts": """
-SELECT concat('cv_', CAST(doc_id AS VARCHAR(20))) AS submission_id, text AS raw_text, source AS folder,
-       concat('gs://cvs/raw/', source, '/cv_', CAST(doc_id AS VARCHAR(20)), '.pdf') AS path, doc_id FROM documents""",
+SELECT concat('cv_', CAST(3 * doc_id AS VARCHAR(20))) AS submission_id, text AS raw_text, source AS folder,
+       concat('gs://cvs/raw/', source, '/cv_', CAST(3 * doc_id AS VARCHAR(20)), '.pdf') AS path, doc_id FROM documents""",
     "replies": """
 SELECT concat('cv_', CAST(event_id AS VARCHAR(20))) AS submission_id,
        concat(CASE WHEN event_id % 3 = 0 THEN concat('```json', chr(10)) ELSE '' END, '{"candidate_name": "',
@@ -89,6 +89,19 @@ SELECT concat('cv_', CAST(event_id AS VARCHAR(20))) AS submission_id,
               CASE WHEN event_id % 17 = 0 THEN 'TBD' ELSE 'Analyst' END, '", "company_name": "Acme ', CAST(event_id % 9 AS VARCHAR(9)), '"}',
               CASE WHEN event_id % 2 = 0 THEN ', {"job_title": "Clerk", "company_name": "Zed", "end_date": "May 2020"}' ELSE '' END, ']}',
               CASE WHEN event_id % 3 = 0 THEN concat(chr(10), '```') ELSE '' END) AS reply, event_id, event_type FROM events""",
+    "odd_replies": """
+SELECT concat('cv_', CAST(event_id AS VARCHAR(20))) AS submission_id, event_id % 16 AS kind,
+       CASE event_id % 16 WHEN 0 THEN '{"candidate_name": "Ann", "email": null}' WHEN 1 THEN '{"candidate_name": "Ann", "email": "a@b.c"}'
+            WHEN 2 THEN '{"candidate_name": "Ann", "work_experience": null}' WHEN 3 THEN '{"candidate_name": "Ann", "skills": [1]}'
+            WHEN 4 THEN '{"candidate_name": "Ann", "skills": ["x", "X "]}' WHEN 5 THEN '{"candidate_name": 5}'
+            WHEN 6 THEN concat('{"candidate_name": "', repeat('n', 200), '"}') WHEN 7 THEN concat('{"candidate_name": "', repeat('n', 201), '"}')
+            WHEN 8 THEN '{"candidate_name": "Ann", "work_experience": [{"job_title": "Clerk", "company_name": "Zed", "is_current": "yes"}]}'
+            WHEN 9 THEN '{"candidate_name": "Ann", "work_experience": [{"job_title": "Clerk", "company_name": "Zed", "is_current": 2}]}'
+            WHEN 10 THEN '{"candidate_name": "Ann", "work_experience": [{"job_title": "Clerk"}]}' WHEN 11 THEN 'no record'
+            WHEN 12 THEN concat('{"candidate_name": "Ann", "work_experience": [{"job_title": "Clerk", "company_name": "Zed", "company_website": "',
+                                repeat('w', 500), '"}]}')
+            WHEN 13 THEN concat('{"candidate_name": "Ann", "phone": "', repeat('0', 51), '"}') WHEN 14 THEN '[]'
+            ELSE '{"candidate_name": " candidate "}' END AS reply FROM events""",
 }
 TABLES = ("orders", "customer", "nation", "part", "documents", "events", "supplier")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,19 +42,38 @@ def extracted(files: DataFrame, extract: Callable[[bytes], str]) -> DataFrame:
     return files.mapInPandas(run, f"{kinds}, raw_text string, error string")
 
 
-def reference_rows(spark: SparkSession, path: str, required: list[str], key: str) -> DataFrame:
-    """The required columns of a headed CSV, trimmed; raises on missing columns, blank or repeated keys, no rows."""
-    rows = spark.read.option("header", True).csv(path)
-    missing = [c for c in required if c not in rows.columns]
+def _headed(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
+    """A headed CSV as it stands; raises on an empty file and on missing columns."""
+    try:
+        rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            raise ReferenceDataError("the file is empty") from e
+        raise
+    if not rows.columns:
+        raise ReferenceDataError("the file is empty")
+    missing = sorted(set(required) - set(rows.columns))
     if missing:
         raise ReferenceDataError(f"missing columns: {', '.join(missing)}")
-    rows = rows.select(*[trimmed(F.coalesce(c, F.lit(""))).alias(c) for c in required])
-    found = rows.groupBy(key).agg(F.count("*").alias("n")).where((F.col("n") > 1) | (F.col(key) == "")).limit(5).collect()
+    return rows
+
+
+def _refuse(rows: DataFrame, why: str, column: str) -> None:
+    """Raises with up to five values if there are rows."""
+    found = [r[0] for r in rows.select(column).limit(5).collect()]
     if found:
-        raise ReferenceDataError(f"blank or repeated {key}: {', '.join(r[key] for r in found)}")
+        raise ReferenceDataError(f"{why}: {', '.join(map(str, found))}")
+
+
+def reference_rows(spark: SparkSession, path: str, required: list[str], key: str) -> DataFrame:
+    """The required columns of a headed CSV, trimmed; raises on an empty file, missing columns, blank or repeated keys, no rows."""
+    names = list(dict.fromkeys([*required, key]))
+    rows = _headed(spark, path, names).select(*[trimmed(F.coalesce(c, F.lit(""))).alias(c) for c in names])
+    _refuse(rows.where(F.col(key) == ""), f"blank {key}", key)
+    _refuse(rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1"), f"repeated {key}", key)
     if rows.limit(1).count() == 0:
         raise ReferenceDataError("no rows")
-    return rows
+    return rows.select(*required)
 
 
 def aliases(rows: DataFrame) -> DataFrame:
@@ -62,5 +82,58 @@ def aliases(rows: DataFrame) -> DataFrame:
     return each.select(trimmed(F.col("alias")).alias("alias"), "canonical_skill").where("alias <> ''")
 
 
+def skills_taxonomy(spark: SparkSession, path: str) -> DataFrame:
+    """(alias, canonical_skill); raises on a blank name, a row without aliases, a declared count that is wrong, an alias of two skills."""
+    raw = _headed(spark, path, ["canonical_skill", "aliases"])
+    count = F.col("alias_count") if "alias_count" in raw.columns else F.lit(None).cast("string")
+    rows = raw.select(
+        trimmed(F.coalesce("canonical_skill", F.lit(""))).alias("canonical_skill"),
+        F.coalesce("aliases", F.lit("")).alias("aliases"),
+        trimmed(F.coalesce(count, F.lit(""))).alias("declared"),
+    )
+    listed = F.size(F.filter(F.transform(F.split("aliases", r"\|"), trimmed), lambda x: x != ""))
+    _refuse(rows.where("canonical_skill = ''"), "blank canonical_skill beside", "aliases")
+    _refuse(rows.where(listed == 0), "no aliases", "canonical_skill")
+    declared = F.col("declared").try_cast("int")
+    _refuse(rows.where((F.col("declared") != "") & ~declared.eqNullSafe(listed)), "alias_count is wrong", "canonical_skill")
+    out = aliases(rows)
+    _refuse(out.groupBy("alias").agg(F.count_distinct("canonical_skill").alias("n")).where("n > 1"), "alias of more than one skill", "alias")
+    if out.limit(1).count() == 0:
+        raise ReferenceDataError("no aliases")
+    return out
+
+
+def job_titles(spark: SparkSession, path: str) -> DataFrame:
+    """(job_title, seniority_level); a blank level is null."""
+    rows = reference_rows(spark, path, ["job_title", "seniority_level"], "job_title")
+    return rows.withColumn("seniority_level", F.nullif("seniority_level", F.lit("")))
+
+
+def location_aliases(spark: SparkSession, path: str) -> DataFrame:
+    """(location_token, country); raises where a country is blank."""
+    rows = reference_rows(spark, path, ["location_token", "country"], "location_token")
+    _refuse(rows.where("country = ''"), "no country", "location_token")
+    return rows
+
+
+GROUND_TRUTH = "id string, folder string, role string, seniority string, years string, location string, github string, inconsistency_types string, filename string"
+
+
+def ground_truth(spark: SparkSession, path: str) -> DataFrame:
+    """The recorded documents with their planted flaws as a list; a missing file has none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        rows = spark.createDataFrame([], GROUND_TRUTH)
+    else:
+        rows = _headed(spark, path, [c.split(" ")[0] for c in GROUND_TRUTH.split(", ")])
+    kinds = F.filter(F.split(F.coalesce("inconsistency_types", F.lit("")), r"\|"), lambda x: x != "")
+    return rows.withColumn("inconsistency_types", kinds)
+
+
+def recorded_ids(spark: SparkSession, path: str) -> DataFrame:
+    return ground_truth(spark, path).select("id").distinct()
+
+
 def archive(df: DataFrame, path: str) -> None:
+    """One JSON object a row, dates and times as text."""
     df.write.mode("append").json(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +28,11 @@ class Catalog:
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
     def exists(self, table: str) -> bool:
+        """Also takes back a table that a broken-off replacement left aside."""
         fs, p = self._fs(self.path(table))
+        old = self._fs(f"{self.path(table)}__old")[1]
+        if not fs.exists(p) and fs.exists(old):
+            fs.rename(old, p)
         return fs.exists(p)
 
     def read(self, table: str) -> DataFrame:
@@ -48,13 +54,22 @@ class Catalog:
             self.replace(table, self.spark.createDataFrame([], self.schemas[table]))
 
     def replace(self, table: str, df: DataFrame) -> None:
-        """Full refresh; an empty result still replaces. The new files are complete before the old go."""
+        """Full refresh; an empty result still replaces.
+
+        The new files are complete before the old ones move aside, which go last: whatever breaks
+        off leaves one whole table, which :meth:`read` finds.
+        """
         path = self.path(table)
         self._shaped(table, df).write.mode("overwrite").parquet(f"{path}__new")
         fs, p = self._fs(path)
-        fs.delete(p, True)
+        old, new = (self._fs(f"{path}__{x}")[1] for x in ("old", "new"))
         fs.mkdirs(p.getParent())
-        fs.rename(self._fs(f"{path}__new")[1], p)
+        fs.delete(old, True)
+        if fs.exists(p) and not fs.rename(p, old):
+            raise OSError(f"{path} cannot be moved aside")
+        if not fs.rename(new, p):
+            raise OSError(f"{path}__new cannot take its place")
+        fs.delete(old, True)
 
     def append(self, table: str, df: DataFrame) -> None:
         self._shaped(table, df).write.mode("append").parquet(self.path(table))
@@ -64,3 +79,11 @@ class Catalog:
         for table in tables:
             if self.exists(table):
                 self.replace(table, self.read(table).join(ids.select(key).distinct(), key, "left_anti"))
+
+    def kept(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a table beside the layers that goes with the application: later deletes and appends do not change it."""
+        path = f"{self.root}/__run/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        fs, p = self._fs(path)
+        fs.deleteOnExit(p)
+        return self.spark.read.schema(df.schema).parquet(path)

@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.ingest import actions
+from ..operators import ingest
 from ..sources.tables import Catalog
 
 
 def landed(catalog: Catalog, table: str, batch: DataFrame) -> None:
-    """One batch: unchanged rows are skipped, changed ones replaced, new ones added."""
-    todo = actions(batch, catalog.read(table).select("submission_id", "content_hash")).where("action <> 'unchanged'")
-    fresh = batch.join(todo.select("submission_id"), "submission_id", "left_semi")
-    kept = catalog.read(table).join(todo.select("submission_id"), "submission_id", "left_anti")
-    catalog.replace(table, kept.unionByName(fresh, allowMissingColumns=True))
+    """One batch: unchanged rows are skipped, changed ones replaced, new ones added.
+
+    Of several rows of one id in a batch the one of the largest hash counts. A batch without
+    changes only appends; the table is written anew only where rows must go.
+    """
+    last = batch.groupBy("submission_id").agg(F.max_by(F.struct(*batch.columns), "content_hash").alias("r")).select("r.*")
+    todo = catalog.kept(ingest.actions(last, catalog.read(table).select("submission_id", "content_hash")).where("action <> 'unchanged'"), "todo")
+    fresh = catalog.kept(last.join(todo.select("submission_id"), "submission_id", "left_semi"), "fresh")
+    changed = todo.where("action = 'changed'").select("submission_id")
+    if changed.limit(1).count():
+        catalog.delete([table], changed)
+    catalog.append(table, fresh)
 
 
 def stream(spark: SparkSession, folder: str, schema: str, catalog: Catalog, table: str, checkpoint: str):
     """Parquet files of a folder, taken as they come; stops when all there are have landed."""
     rows = spark.readStream.schema(schema).parquet(folder)
-    sink = rows.writeStream.foreachBatch(lambda batch, _: landed(catalog, table, batch.dropDuplicates(["submission_id"])))
+    sink = rows.writeStream.foreachBatch(lambda batch, _: landed(catalog, table, batch))
     return sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
