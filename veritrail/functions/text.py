@@ -111,14 +111,14 @@ def city_of(parts: Column, country: Column) -> Column:
     return F.when(city != "", city)
 
 
-def profile_hits(c) -> Column:
-    """How many of the technical words a text holds; it is lowered once, as a lambda's variable that no rule inlines."""
-    count = lambda low: sum((F.contains(low, F.lit(w)).cast("int") for w in fixed.PROFILE_WORDS), F.lit(0))
-    return F.get(F.transform(F.array(F.lower(F.coalesce(c, F.lit("")))), count), F.lit(0))
+def profile_hits(low) -> Column:
+    """How many of the technical words a lower-cased text holds."""
+    return sum((F.contains(low, F.lit(w)).cast("int") for w in fixed.PROFILE_WORDS), F.lit(0))
 
 
-def profile_type(c) -> Column:
-    return F.when(profile_hits(c) >= fixed.PROFILE_LEAST, "technical").otherwise("non_technical")
+def profile_type(low) -> Column:
+    """The profile of a lower-cased text; give it as a column of its own, which is then lowered once. Null is not technical."""
+    return F.when(profile_hits(low) >= fixed.PROFILE_LEAST, "technical").otherwise("non_technical")
 
 
 def skill_category(c) -> Column:

@@ -32,7 +32,8 @@ def land_texts(catalog: Catalog, found: DataFrame, extract: Callable[[bytes], st
     read = catalog.kept(files.extracted(found.join(chosen.select("submission_id"), "submission_id", "left_semi"), extract), "texts")
     catalog.append("bronze.rejected", read.where("error is not null").select("submission_id", "error", _stamp(now).alias("rejected_at")))
     texts = read.where(F.col("error").isNull() & (trimmed(F.coalesce("raw_text", F.lit(""))) != ""))
-    rows = texts.withColumns({"profile_type": profile_type(F.col("raw_text")), "submission_timestamp": _stamp(now), "folder": F.lit(folder)})
+    rows = texts.withColumns({"low": F.lower("raw_text"), "submission_timestamp": _stamp(now), "folder": F.lit(folder)})
+    rows = rows.withColumn("profile_type", profile_type(F.col("low")))
     if archive:
         files.archive(texts.select("submission_id", "raw_text"), archive)
     catalog.append("bronze.raw_cv_texts", rows)

@@ -371,7 +371,8 @@ ELSE 'non_technical' END AS profile_type FROM texts""",
     "texts",
 )
 def classify_profile(spark, sf_dir):
-    return view(spark, sf_dir, "texts").select("submission_id", T.profile_type(F.col("raw_text")).alias("profile_type"))
+    rows = view(spark, sf_dir, "texts").select("submission_id", F.lower("raw_text").alias("low"))
+    return rows.select("submission_id", T.profile_type(F.col("low")).alias("profile_type"))
 
 
 @_query(
@@ -605,7 +606,7 @@ AND NOT EXISTS (SELECT 1 FROM raw_jobs j WHERE j.submission_id = t.submission_id
     "raw_jobs",
 )
 def open_texts(spark, sf_dir):
-    rows = view(spark, sf_dir, "texts").withColumn("profile_type", T.profile_type(F.col("raw_text")))
+    rows = view(spark, sf_dir, "texts").withColumn("low", F.lower("raw_text")).withColumn("profile_type", T.profile_type(F.col("low")))
     return jobs.open_texts(rows, view(spark, sf_dir, "raw_jobs")).select("submission_id")
 
 
