@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import tempfile
+import threading
 import uuid
 
 import numpy as np
@@ -46,9 +48,39 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     fs, p = _at(spark, path)
     fs.deleteOnExit(p)
+    getattr(_LOCAL, "made", []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_LOCAL = threading.local()
+
+
+def stage(f):
+    """A pipeline stage f(spark, docs, sf_dir) that first deletes the tables of earlier stages of its thread.
+
+    A stage's result is written before the next one begins, so only tables that ``docs`` itself
+    still reads are kept: a result that was not written must go to the next stage or be read before it.
+    """
+
+    @functools.wraps(f)
+    def run(spark, docs, sf_dir):
+        held, rest = docs.inputFiles(), []
+        for path in getattr(_LOCAL, "left", []):
+            if any(path.rsplit("/", 1)[1] in x for x in held):
+                rest.append(path)
+            else:
+                fs, p = _at(spark, path)
+                fs.delete(p, True)
+        _LOCAL.made = []
+        try:
+            return f(spark, docs, sf_dir)
+        finally:
+            _LOCAL.left = rest + _LOCAL.made
+            del _LOCAL.made
+
+    return run
+
+
 def spare(columns: list[str], name: str) -> str:
     """``name``, longer by underscores until no column is called so."""
     held = {c.lower() for c in columns}
