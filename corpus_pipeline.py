@@ -11,16 +11,19 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@common.stage
 def drop_toxic(spark, docs, sf_dir):
     """Documents that the toxicity model rejects go; null and empty texts score as an empty word."""
     return toxicity.without_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
+@common.stage
 def drop_lines(spark, docs, sf_dir):
     """Lines that repeat an earlier one go, and documents made of such lines alone; documents without lines stay."""
     return lines.deduped_lines(docs, n_chars_col="n_chars")
 
 
+@common.stage
 def drop_near_copies(spark, docs, sf_dir):
     """One document of each class of near copies stays: the one of the smallest id, rows without id last.
 
@@ -34,11 +37,13 @@ def drop_near_copies(spark, docs, sf_dir):
     return rows.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi").select(*docs.columns)
 
 
+@common.stage
 def drop_benchmark(spark, docs, sf_dir):
     """Documents that hold a window of the benchmark go; texts without words stay."""
     return decontam.decontaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
+@common.stage
 def mix_sources(spark, docs, sf_dir):
     """The mix: documents that it takes, with the copies and words taken, each row for itself.
 
