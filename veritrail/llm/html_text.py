@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from functools import cache
 
 from pyspark.sql import DataFrame
@@ -23,7 +24,7 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE = frozenset("nav footer aside form menu dialog search button select fieldset".split())
 RAW_TEXT = "script|style|title|textarea"  # without a closing tag these run to the end of the page
-RAW = "template|noscript|iframe|svg|math|object|canvas|audio|video|select|button"
+RAW = frozenset("template noscript iframe svg math object canvas audio video select button".split())
 # Words of class, id and role that name page furniture.
 HINTS = frozenset(
     "ad ads adv advert advertisement adverts sponsor sponsored promo promotion banner breadcrumb breadcrumbs comment comments"
@@ -101,14 +102,13 @@ def decide(node, x) -> int:
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<text>{RAW_TEXT})(?![\w:-])(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+>(?:.*?</(?P=text)\s*+>|.*\Z)"
-    # a self-closed element is empty, and without a closing tag the opening one alone goes
-    rf"|<(?P<raw>{RAW})(?![\w:-])(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+(?:(?<=/)>|>(?:.*?</(?P=raw)\s*+>)?)"
-    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)>"
-    r"|</?[a-z][^<>]*+>|<[!?][^>]*+>",
+    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>(?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)>"
+    r"|</?[a-z][^<>]*+>|<[!?](?:[^<>]|<(?![!?]))*+>",
     re.S | re.I,
 )
 _ATTR = re.compile(r"\b(class|id|role|itemprop|style)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))|\b(hidden|aria-hidden=[\"']?true)", re.I)
 _PARTS = re.compile(r"[a-z]+")
+_CLOSING = {name: re.compile(rf"</{name}\s*+>", re.I) for name in RAW}
 
 
 def _element(name: str, attrs: str) -> tuple[int, int]:
@@ -124,10 +124,13 @@ def _element(name: str, attrs: str) -> tuple[int, int]:
                 furniture |= int("display:none" in value.replace(" ", ""))
                 continue
             for whole in value.split():
-                words = _PARTS.findall(whole)
+                words = set(_PARTS.findall(whole))
+                hints = words & HINTS
                 if whole in MAIN_HINTS:
                     inside = 1
-                elif name not in ("html", "body", "article", "main") and any(w in HINTS for w in words):
+                elif hints == {"header"} and words & MAIN_HINTS:
+                    continue  # the head of a post holds its title
+                elif name not in ("html", "body", "article", "main") and hints:
                     furniture = 1
     return inside, furniture
 
@@ -139,6 +142,8 @@ def blocks(page: str) -> list[list]:
     linked = 0
     stack: list[tuple[str, int, int]] = []
     inside = furniture = links = heading = 0
+    opened = Counter()  # names on the stack
+    unclosed = set()  # elements of RAW without a closing tag in the rest of the page
 
     def flush():
         nonlocal linked
@@ -151,7 +156,7 @@ def blocks(page: str) -> list[list]:
         linked = 0
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             piece = page[at : m.start()]
             text.append(piece)
@@ -162,15 +167,25 @@ def blocks(page: str) -> list[list]:
         if not name:
             continue
         name = name.lower()
+        if name in RAW and not m["close"]:
+            # a self-closed element is empty, and without a closing tag the opening one alone goes
+            if not m["attrs"].endswith("/") and name not in unclosed:
+                end = _CLOSING[name].search(page, at)
+                if end:
+                    at = end.end()
+                else:
+                    unclosed.add(name)
+            continue
         block = name in BLOCKS
         if block:
             flush()
         elif name == "br":
             text.append(" ")
         if m["close"]:
-            if any(e[0] == name for e in stack):
+            if opened[name]:
                 while stack:
                     was, i, f = stack.pop()
+                    opened[was] -= 1
                     inside -= i
                     furniture -= f
                     links -= was == "a"
@@ -180,6 +195,7 @@ def blocks(page: str) -> list[list]:
         elif name not in VOID and not m["attrs"].endswith("/"):
             if name in ("p", "li", "a", "option", "tr", "td", "th", "dd", "dt") and stack and stack[-1][0] == name:
                 was, i, f = stack.pop()
+                opened[was] -= 1
                 inside, furniture, links = inside - i, furniture - f, links - (was == "a")
             i, f = _element(name, m["attrs"])
             if name == "header" and not inside:
@@ -187,6 +203,7 @@ def blocks(page: str) -> list[list]:
             if name == "a" and links:
                 i = f = 0
             stack.append((name, i, f))
+            opened[name] += 1
             inside += i
             furniture += f
             links += name == "a"

@@ -31,6 +31,7 @@ _VALUE = re.compile(r"(?:[\x20\t]*[:=][\x20\t]*[\"']?)([A-Za-z0-9+/_.-]{8,})")
 _IBAN = re.compile(r"[\x20\t]*[:=]?[\x20\t]*([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Z0-9])")
 _KEY = re.compile(r"[0-9A-Z]{16}(?![0-9A-Za-z])")
 _URL = re.compile(r"[^\s\"'<>]+")
+_HOST = re.compile(r"[0-9]+(?:\.[0-9]+){3}(?::[0-9]+)?")
 _HOUSE = re.compile(r"(?<![0-9A-Za-z])([0-9]{1,5}[A-Za-z]?(?:\x20[A-Z][A-Za-z.'-]*){1,4}\x20)\Z")
 _DIGITS = str.maketrans("", "", "\x20-().+")
 
@@ -76,7 +77,7 @@ def anchors():
 def spans_of(text: str, automaton) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of all personal data in ``text``, in order."""
     out: list[tuple[int, int, int]] = []
-    email_end = ip_end = card_end = phone_end = key_end = 0
+    email_end = ip_end = card_end = phone_end = key_end = url_end = 0
     for last, (what, n) in automaton.iter(text):
         at = last - n + 1
         if what == "number":
@@ -112,10 +113,15 @@ def spans_of(text: str, automaton) -> list[tuple[int, int, int]]:
             start = at
             while start > 0 and text[start - 1].isascii() and text[start - 1].isalnum():
                 start -= 1
-            m = _URL.match(text, last + 1) if start < at else None
-            host = m.group().split("/", 1)[0] if m else ""
-            if "@" in host or re.fullmatch(r"[0-9]+(?:\.[0-9]+){3}(?::[0-9]+)?", host):
-                out.append((start, 4, m.end()))
+            if start < at:
+                # schemes of one run of characters end together, and a host ends before the next scheme
+                if last + 1 >= url_end:
+                    m = _URL.match(text, last + 1)
+                    url_end = m.end() if m else last + 1
+                slash = text.find("/", last + 1, url_end)
+                host = text[last + 1 : slash if slash >= 0 else url_end]
+                if "@" in host or _HOST.fullmatch(host):
+                    out.append((start, 4, url_end))
         elif what in ("cue", "iban"):
             m = (_IBAN if what == "iban" else _VALUE).match(text, last + 1)
             if m and m.start(1) >= key_end and (iban(m.group(1)) if what == "iban" else any(c.isdigit() for c in m.group(1))):
