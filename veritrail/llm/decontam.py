@@ -1,9 +1,9 @@
 """Benchmark decontamination with DataFrame operations only.
 
-The benchmark's normalised word windows are a small table. Each window is looked up by its
-longest word: training words are scanned once, a word that is some window's longest one aligns
-that window with the text around it, and the aligned words are compared with the window itself.
-Words never leave their row before a hit, so only hits are shuffled.
+The benchmark's normalised word windows are a small hash table. Training texts are scanned once:
+every window of theirs is hashed and looked up, and what is found is verified word by word. While
+the table is small it is broadcast, and words never leave their row before a hit; beyond that
+window hashes alone are shuffled, and hits go back to their row's words.
 """
 
 from __future__ import annotations
@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, keyed, spare
+from .common import ascii_lower, keyed, spare, written
 
 WORDS = 10
 #: Everything but digits, a-z and code points above 7F (A-Z are lower-cased before).
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-#: The window table is broadcast up to so many bytes of text; beyond that the join is shuffled.
+#: The window table is broadcast up to so many bytes; beyond that hashes are shuffled.
 BROADCAST_BYTES = 64 << 20
 
 
@@ -26,50 +26,60 @@ def words_of(col: Column) -> Column:
 
 
 def windows(bench: DataFrame, id_col: str = "item_id", text_col: str = "text", n: int = WORDS) -> DataFrame:
-    """(anchor, off, len, gram, items): each different window, its longest word, its items."""
+    """(len, hash, gram, items): each different window, its words, its items."""
     items = bench.select(F.col(id_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     at = F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n)).otherwise(F.array(F.lit(0)))
     cut = items.select("item", "w", F.explode(at).alias("i")).select(
-        "item", F.slice("w", F.col("i") + 1, F.least(F.lit(n), F.size("w"))).alias("g")
-    )
-    grams = cut.groupBy("g").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    longest = F.array_max(F.transform("g", lambda x, i: F.struct(F.length(x).alias("n"), (-i).alias("i"))))
-    return grams.withColumn("off", -longest["i"]).select(
-        F.element_at("g", F.col("off") + 1).alias("anchor"),
-        "off",
-        F.size("g").alias("len"),
-        F.array_join("g", " ").alias("gram"),
-        "items",
+        "item", F.slice("w", F.col("i") + 1, F.least(F.lit(n), F.size("w"))).alias("gram")
     )
+    grams = cut.groupBy("gram").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return grams.select(F.size("gram").alias("len"), F.xxhash64("gram").alias("hash"), "gram", "items")
 
 
 def contamination(
-    docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS
+    docs: DataFrame,
+    bench: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    n: int = WORDS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_hit, n_items, items (array), spans, contaminated.
 
     spans are [start, length] of hit windows in words. Null, empty and wordless texts have no
     words; an item without words hits nothing; an item without id still hits. Rows of one id
-    stay separate rows.
+    stay separate rows. A table of windows of more than ``broadcast_bytes`` is joined by shuffle.
     """
-    table = windows(bench, text_col=text_col if text_col in bench.columns else "text", n=n)
-    held = table.agg(F.sum(F.length("gram") * 2 + 64)).first()[0] or 0
-    if held <= BROADCAST_BYTES:
-        table = F.broadcast(table)
+    table = written(windows(bench, text_col=text_col if text_col in bench.columns else "text", n=n), "windows")
+    size = F.size("gram") * 16 + F.octet_length(F.array_join("gram", "")) + F.octet_length(F.array_join("items", "")) + 64
+    facts = table.agg(F.sum(size).alias("bytes"), F.collect_set("len").alias("lens")).first()
+    lens = sorted(facts["lens"]) or [n]  # at most n different lengths
+    small = (facts["bytes"] or 0) <= broadcast_bytes
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.select(F.monotonically_increasing_id().alias("row"), "id", words_of(F.col("text")).alias("w"))
-    rows = rows.withColumn("n_words", F.size("w").cast("long"))
-    each = rows.select("row", "id", "w", "n_words", F.posexplode_outer("w").alias("pos", "word"))
-    begin = F.col("pos") - F.col("off")
-    aligned = (
-        (F.col("word") == F.col("anchor"))
-        & (begin >= 0)
-        & (begin + F.col("len") <= F.col("n_words"))
-        & (F.array_join(F.slice("w", F.greatest(begin, F.lit(0)) + 1, F.col("len")), " ") == F.col("gram"))
-    )
-    hits = each.join(table, aligned, "left").where("gram is not null or pos is null or pos = 0")
-    span = F.when(F.col("gram").isNotNull(), F.struct(begin.alias("start"), F.col("len").alias("length")))
-    per = hits.groupBy("row", "id", "n_words").agg(F.collect_set(span).alias("spans"), F.collect_set("items").alias("items"))
+    if not small:
+        rows = keyed(rows, "row")
+    else:
+        rows = rows.withColumn("row", F.monotonically_increasing_id())
+    rows = rows.select("row", "id", words_of(F.col("text")).alias("w")).withColumn("n_words", F.size("w").cast("long"))
+    cut = lambda size: F.slice("w", F.col("pos") + 1, size)
+    hashed = [F.when(F.col("pos") + k <= F.col("n_words"), F.xxhash64(cut(F.lit(k)))) for k in lens]
+    at = rows.select("row", "id", "w", "n_words", F.posexplode_outer("w").alias("pos", "word"))
+    each = at.select("row", "id", "w", "n_words", "pos", hashed[0].alias("h"), F.lit(lens[0]).alias("l"))
+    if len(lens) > 1:
+        both = F.array(*[F.struct(h.alias("h"), F.lit(k).alias("l")) for h, k in zip(hashed, lens, strict=True)])
+        each = at.select("row", "id", "w", "n_words", "pos", F.inline(both).alias("h", "l"))
+    found = (F.col("l") == F.col("len")) & (F.col("h") == F.col("hash"))
+    same = cut(F.col("len")) == F.col("gram")
+    span = F.when(F.col("gram").isNotNull(), F.struct(F.col("pos").alias("start"), F.col("len").alias("length")))
+    spans, items = F.collect_set(span).alias("spans"), F.collect_set("items").alias("items")
+    if small:
+        hits = each.join(F.broadcast(table), found & same, "left").where("gram is not null or pos is null or pos = 0")
+        per = hits.groupBy("row", "id", "n_words").agg(spans, items)
+    else:
+        hits = each.where("h is not null").select("row", "pos", "h", "l").join(table, found).drop("h", "l", "hash")
+        held = hits.join(rows.select("row", "w"), "row").where(same).groupBy("row").agg(spans, items)
+        none = [F.coalesce(c, F.array().cast(held.schema[c].dataType)).alias(c) for c in ("spans", "items")]
+        per = rows.select("row", "id", "n_words").join(held, "row", "left").select("row", "id", "n_words", *none)
     covered = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))
     per = per.withColumns(
         {"n_hit": F.size(F.array_distinct(covered)).cast("long"), "items": F.array_sort(F.array_distinct(F.flatten("items")))}
