@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, jaccard, licenses, lines, mixing, pii, quality, topk, toxicity
+from . import conversations, copies, decontam, html_text, jaccard, licenses, lines, mixing, pii, quality, topk, toxicity, whitening
 from .common import keyed
 
 
@@ -55,10 +55,23 @@ def op10_html_text(spark, sf_dir):
     return html_text.extracted(_table(spark, sf_dir, "pages"))
 
 
+def op11_repair(spark, sf_dir):
+    return conversations.repair_report(_table(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_dedup(spark, sf_dir):
+    return copies.exact_copies(_table(spark, sf_dir, "documents"))
+
+
 def queries():
     found = (
         op1_license_scan, op2_line_dedup, op3_quality, op4_jaccard, op5_toxicity,
         op6_mixing, op7_pii, op8_topk, op9_decontamination, op10_html_text,
+        op11_repair, op12_whitening, op13_exact_dedup,
     )
     return {f.__name__: f for f in found}
 
@@ -71,4 +84,6 @@ def oracle_sql():
         "op4_jaccard": jaccard.CLASSES_SQL,
         "op8_topk": topk.TOP_SQL,
         "op9_decontamination": decontam.CONTAMINATION_SQL,
+        "op11_repair": conversations.REPAIR_SQL,
+        "op13_exact_dedup": copies.COPIES_SQL,
     }
