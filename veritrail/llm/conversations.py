@@ -30,6 +30,8 @@ STATES = len(NEXT)
 #: Costs from each state to the end when no row is left: a turn or two are inserted.
 AT_END = (0, 2 * INSERT, INSERT, 0)
 FAR = 1 << 40
+#: Codes up to this length are answered from memory when they come again.
+SHORT = 32
 WHITE = " \t\n\x0b\x0c\r"
 #: A row's code: its role's initial, upper case if the text is cut off, or one of these.
 BLANK, COPY = "b", "d"
@@ -49,18 +51,16 @@ def _steps(code: str, state: int):
         yield "R", REROLE + more, WRITTEN[state][1]
 
 
-def _kept_if_short(work):
-    """Answers for short codes are kept, as they come again and again; ``codes`` is the first argument."""
-    kept = functools.lru_cache(maxsize=1 << 14)(work)
-    return functools.wraps(work)(lambda codes, *rest: (kept if len(codes) <= 32 else work)(codes, *rest))
-
-
-@_kept_if_short
 def distances(codes: str, end: tuple[int, ...]) -> list[list[int]]:
     """By row and state: the least cost from before that row to the end, whose states cost ``end``.
 
-    Dial's algorithm from the end backwards: nodes wait in buckets by distance.
+    Dial's algorithm from the end backwards: nodes wait in buckets by distance. Answers for short
+    codes are kept, as they come again and again.
     """
+    return _kept_distances(codes, end) if len(codes) <= SHORT else _distances(codes, end)
+
+
+def _distances(codes: str, end: tuple[int, ...]) -> list[list[int]]:
     n = len(codes)
     back = {}  # by code and state after: (cost, state before)
     for code in set(codes):
@@ -98,7 +98,11 @@ def distances(codes: str, end: tuple[int, ...]) -> list[list[int]]:
     return far
 
 
-@_kept_if_short
+@functools.lru_cache(maxsize=1 << 14)
+def _kept_distances(codes: str, end: tuple[int, ...]) -> list[list[int]]:
+    return _distances(codes, end)
+
+
 def walked(codes: str, end: tuple[int, ...], state: int, last: bool) -> tuple[list[tuple[int, str, str]], int]:
     """The ASCII-least cheapest edits of a piece entered in ``state``, and the state it is left in.
 
