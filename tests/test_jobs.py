@@ -28,12 +28,22 @@ def _reply(**more):
         ({"work_experience": [ROLE, ROLE | {"description": "d" * 10001}]}, False), ({"work_experience": [], "unknown": 1}, True), ({"candidate_name": 7}, False),
     ],
 )
-def test_replies(more, fine):
-    try:
-        ingest.read_reply(_reply(**more))
-        assert fine
-    except ingest.Rejected:
-        assert not fine
+def test_replies(spark, more, fine):
+    row = ingest.parsed(spark.createDataFrame([("a", _reply(**more))], "submission_id string, reply string")).first()
+    assert (row["is_valid"], row["cv"] is not None, row["error"] is None) == (fine, fine, fine)
+
+
+def test_what_a_reply_gives(spark):
+    """Trimmed texts, defaults where a field is missing, truth values of every spelling; the error names the field."""
+    roles = [ROLE, {"job_title": " Clerk ", "company_name": "Zed", "is_current": 1}, {"job_title": "C", "company_name": "Z", "is_current": " ON "}]
+    rows = [("a", _reply(work_experience=roles, email=" a@b.c ")), ("b", _reply(phone=7)), ("c", _reply(work_experience=[ROLE, 5])), ("d", _reply(skills={}))]
+    got = {r["submission_id"]: r for r in ingest.parsed(spark.createDataFrame(rows, "submission_id string, reply string")).collect()}
+    cv = got["a"]["cv"]
+    assert (cv["candidate_name"], cv["email"], cv["github"], cv["skills"]) == ("Ann", "a@b.c", "", ["Python", " python ", ""])
+    assert [(r["job_title"], r["end_date"], r["location"], r["is_current"]) for r in cv["work_experience"]] == [
+        ("Senior Analyst", "Present", "Dock Office, UK", False), ("Clerk", "Present", "", True), ("C", "Present", "", True),
+    ]
+    assert [got[k]["error"] for k in "bcd"] == ["phone is no text", "a role is no object", "skills is no list"]
 
 
 def test_replies_that_are_no_json(spark):

@@ -1,13 +1,11 @@
 """Column functions of the cleaning and signal rules; no I/O, no Python in the plan."""
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from . import fixed
+from .folding import casefolded, compatible
+from .keywords import longest_anywhere
 
 _SPACE = r"[\s\x1c-\x1f]"
 
@@ -31,34 +29,19 @@ def valid_email(c) -> Column:
     return F.coalesce(c.rlike(fixed.EMAIL), F.lit(False))
 
 
-def standard_phone(c) -> Column:
-    """E.164 or null, by the numbering plans in ``fixed``; a number without a code is British."""
-    raw = F.regexp_replace(c, r"[\s().-]", "")
-    plain = F.regexp_replace(raw, "^00", "+")
-    out = F.lit(None).cast("string")
-    for code, trunk, least, most, first in fixed.PHONE_PLANS:
-        national = rf"{'(?:' + trunk + ')?' if trunk else ''}([{first}][0-9]{{{least - 1},{most - 1}}})"
-        found = F.regexp_extract(plain, rf"^\+{code}{national}$", 1)
-        out = F.when(found != "", F.concat(F.lit(f"+{code}"), found)).otherwise(out)
-    home = F.regexp_extract(plain, r"^0([1237][0-9]{9})$", 1)
-    return F.when(home != "", F.concat(F.lit("+44"), home)).otherwise(out)
-
+def dialled(c, home: str) -> Column:
+    """The digits of a phone number behind its international prefix; one without prefix gets the calling code ``home``.
 
-def _compatible(c) -> Column:
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
-
-    return F.pandas_udf(run, StringType())(c)
+    Null if something else than digits is left without white space, dots, dashes and brackets.
+    """
+    plain = F.regexp_replace(F.regexp_replace(c, r"[\s().-]", ""), r"^(?:\+|00)", "+")
+    digits = F.when(plain.startswith("+"), F.substring(plain, 2, 99)).otherwise(F.concat(F.lit(home), plain))
+    return F.when(digits.rlike("^[0-9]{4,30}$"), digits)
 
 
 def clean_skill(c) -> Column:
-    """Compatibility forms (NFKC) made plain, white space squeezed; null is empty.
-
-    There is no built-in for NFKC: only values beyond ASCII go through Arrow, the others are null there.
-    """
-    value = F.coalesce(c, F.lit(""))
-    plain = F.octet_length(value) == F.char_length(value)
-    return squeezed(F.when(plain, value).otherwise(_compatible(F.when(~plain, value))))
+    """Compatibility forms (NFKC) made plain, white space squeezed; null is empty."""
+    return squeezed(compatible(F.coalesce(c, F.lit(""))))
 
 
 def skill_key(c) -> Column:
@@ -66,8 +49,8 @@ def skill_key(c) -> Column:
 
 
 def lookup_key(c) -> Column:
-    """Trimmed, without case (sharp s as ss); white space inside stays as it is."""
-    return F.replace(F.lower(trimmed(F.coalesce(c, F.lit("")))), F.lit("ß"), F.lit("ss"))
+    """Trimmed, case folded; white space inside stays as it is."""
+    return casefolded(trimmed(F.coalesce(c, F.lit(""))))
 
 
 def standard_title(c) -> Column:
@@ -112,8 +95,17 @@ def city_of(parts: Column, country: Column) -> Column:
 
 
 def profile_hits(low) -> Column:
-    """How many of the technical words a lower-cased text holds."""
-    return sum((F.contains(low, F.lit(w)).cast("int") for w in fixed.PROFILE_WORDS), F.lit(0))
+    """How many of the technical words a lower-cased text holds, wherever they stand.
+
+    One pass finds the longest word at every place; words that it begins with come along, and words
+    that begin further on are found there.
+    """
+    words = fixed.PROFILE_WORDS
+    begun = {w: [x for x in words if w.startswith(x)] for w in words}
+    more = [x for w, of in begun.items() if len(of) > 1 for x in (F.lit(w), F.array(*map(F.lit, of)))]
+    found = F.array_distinct(F.regexp_extract_all(low, F.lit(longest_anywhere(words)), F.lit(1)))
+    every = F.flatten(F.transform(found, lambda w: F.coalesce(F.try_element_at(F.create_map(*more), w), F.array(w))))
+    return F.coalesce(F.size(F.array_distinct(every)), F.lit(0))
 
 
 def profile_type(low) -> Column:
@@ -122,7 +114,7 @@ def profile_type(low) -> Column:
 
 
 def skill_category(c) -> Column:
-    pairs = [F.lit(x) for name, skills in fixed.SKILL_CATEGORIES.items() for s in skills for x in (s, name)]
+    pairs = [F.lit(x) for pair in fixed.SKILL_CATEGORIES.items() for x in pair]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(trimmed(F.coalesce(c, F.lit(""))))), F.lit("other"))
 
 

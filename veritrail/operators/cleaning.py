@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions import text as T
 
+PHONE_PLANS = "calling_code string, trunk string, national string"
+
 
 class ReferenceConflict(ValueError):
     """A reference key with more than one value."""
@@ -38,9 +43,38 @@ def conflicts(dim: DataFrame, key: str, value: str, form=T.lookup_key) -> DataFr
     return per.where("n_values > 1")
 
 
-def candidates(raw: DataFrame) -> DataFrame:
+def standard_phones(rows: DataFrame, column: str, into: str, plans: DataFrame | None = None, home: str = fixed.PHONE_HOME) -> DataFrame:
+    """``rows`` with ``into``: the number of ``column`` in E.164, null if no plan accepts it.
+
+    ``plans`` (calling_code, trunk, national: a regular expression) are looked up by the longest code
+    that begins the number; codes have up to three digits, so the table is small enough to broadcast,
+    whatever it came from. A number without code belongs to ``home``. The trunk prefix may be left out
+    or in. Of two plans of one code the lesser form counts.
+    """
+    plans = rows.sparkSession.createDataFrame(list(fixed.PHONE_PLANS), PHONE_PLANS) if plans is None else plans
+    known = plans.where(F.col("calling_code").rlike("^[0-9]{1,3}$")).groupBy("calling_code").agg(F.min(F.struct("national", "trunk")).alias("plan"))
+    out = rows.withColumn("_digits", T.dialled(F.col(column), home))
+    for k in (3, 2, 1):
+        one = known.select(F.col("calling_code").alias(f"_code{k}"), F.col("plan").alias(f"_plan{k}"))
+        out = out.join(F.broadcast(one), F.substring("_digits", 1, k) == F.col(f"_code{k}"), "left")
+    code, plan = F.coalesce("_code3", "_code2", "_code1"), F.coalesce("_plan3", "_plan2", "_plan1")
+    rest = F.substr(F.col("_digits"), F.length(code) + 1)
+    trunk = F.coalesce(plan["trunk"], F.lit(""))
+    fits = lambda x: F.regexp_like(x, F.concat(F.lit("^(?:"), plan["national"], F.lit(")$")))
+    ways = [rest, F.when((trunk != "") & F.startswith(rest, trunk), F.substr(rest, F.length(trunk) + 1))]
+    ways.append(F.when((code == home) & F.startswith(rest, F.lit(home)), F.substr(rest, F.lit(len(home) + 1))))
+    number = F.coalesce(*[F.when(fits(x), F.concat(F.lit("+"), code, x)) for x in ways])
+    return out.withColumn(into, number).drop("_digits", *[f"_{x}{k}" for k in (1, 2, 3) for x in ("code", "plan")])
+
+
+def candidates(raw: DataFrame, plans: DataFrame | None = None, normalize: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Candidates row for row; phones by ``plans`` (see :func:`standard_phones`) or by an injected column function."""
     blank = lambda c: T.trimmed(F.coalesce(c, F.lit("")))
-    phone = T.standard_phone(F.col("phone"))
+    if normalize:
+        raw = raw.withColumn("_e164", normalize(F.col("phone")))
+    else:
+        raw = standard_phones(raw, "phone", "_e164", plans)
+    phone = F.col("_e164")
     return raw.select(
         "submission_id",
         T.standard_name(F.col("candidate_name")).alias("candidate_name"),
@@ -108,8 +142,8 @@ def coverage(dim: DataFrame) -> DataFrame:
     return dim.agg(F.count_distinct(T.skill_key(F.col("alias"))).alias("n_aliases"), F.count_distinct("canonical_skill").alias("n_canonical"))
 
 
-def date_problems(rows: DataFrame, as_of) -> DataFrame:
-    """(experience_id, problem): one row for every problem of a role's dates; a label can come twice."""
+def problems(as_of) -> Column:
+    """The labels of what is wrong with a role's dates; a label can come twice."""
     today = F.lit(as_of).cast("date")
     start, end = F.col("start_date"), F.col("end_date")
     each = [
@@ -119,4 +153,36 @@ def date_problems(rows: DataFrame, as_of) -> DataFrame:
     ]
     for d in (start, end):
         each += [F.when(d > today, "date_in_future"), F.when(F.year(d) < 1950, "implausible_year")]
-    return rows.select("experience_id", F.explode(F.array_compact(F.array(*each))).alias("problem"))
+    return F.array_compact(F.array(*each))
+
+
+def date_problems(rows: DataFrame, as_of) -> DataFrame:
+    """(experience_id, problem): one row for every problem of a role's dates."""
+    return rows.select("experience_id", F.explode(problems(as_of)).alias("problem"))
+
+
+def summarize_gaps(rows: DataFrame, as_of, k: int | None = None) -> DataFrame:
+    """(kind, name, n) of what cleaning could not resolve, in one pass over ``rows``.
+
+    kind ``problem``: labels of dates; ``title``: titles without a level; ``location``: locations
+    without a country, blank ones left out; ``rows``: how many rows lack a level or a country. Of
+    titles and locations the ``k`` most frequent stay (None: all), ties by name, a blank title last.
+    """
+    blank = F.nullif("job_title", F.lit(""))
+    no_level = F.col("seniority_level").isNull()
+    no_country = F.col("location_country").isNull() & (F.coalesce("location", F.lit("")) != "")
+    item = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+    single = F.array_compact(
+        F.array(
+            F.when(no_level, item("title", blank)), F.when(no_level, item("rows", F.lit("without_seniority"))),
+            F.when(no_country, item("location", F.col("location"))), F.when(no_country, item("rows", F.lit("without_country"))),
+        )
+    )
+    every = F.concat(F.transform(problems(as_of), lambda p: item("problem", p)), single)
+    counts = rows.select(F.explode(every).alias("x")).groupBy("x.kind", "x.name").agg(F.count("*").alias("n"))
+    if k is None:
+        return counts
+    # labels and sums stand alone in their windows, so one bound on the place serves all
+    alone = F.when(F.col("kind").isin("problem", "rows"), F.col("name"))
+    place = F.row_number().over(Window.partitionBy("kind", alone).orderBy(F.desc("n"), F.asc_nulls_last("name")))
+    return counts.withColumn("place", place).where(F.col("place") <= k).drop("place")

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import bare_json, first_spellings, skill_category
+from ..functions.text import bare_json, first_spellings, skill_category, trimmed
 
 # Most code points of each field after trimming, and values where a field is missing.
 LENGTHS = {"candidate_name": 200, "email": 200, "phone": 50, "linkedin": 500, "github": 500}
@@ -17,13 +15,6 @@ DEFAULTS = {"end_date": "Present"}
 TRUE, FALSE = ("1", "true", "t", "yes", "y", "on"), ("0", "false", "f", "no", "n", "off")
 MOST_SKILLS = 200
 
-CV_SCHEMA = (
-    ", ".join(f"{c} string" for c in LENGTHS)
-    + ", work_experience array<struct<"
-    + ", ".join(f"{c}:string" for c in ROLE_LENGTHS)
-    + ", is_current:boolean>>, skills array<string>"
-)
-
 
 def actions(now: DataFrame, prior: DataFrame) -> DataFrame:
     """new, unchanged or changed for each id of ``now``; a prior row without a hash is changed."""
@@ -34,84 +25,80 @@ def actions(now: DataFrame, prior: DataFrame) -> DataFrame:
     return now.join(before, "submission_id", "left").select("submission_id", "content_hash", action.alias("action"))
 
 
-class Rejected(ValueError):
-    """A reply that does not have the declared shape."""
-
-
-def _text(record: dict, field: str, most: int, taboo=None) -> str:
-    if field not in record:
-        if taboo is not None:
-            raise Rejected(f"{field} is missing")
-        return DEFAULTS.get(field, "")
-    value = record[field]
-    if not isinstance(value, str):
-        raise Rejected(f"{field} is no text")
-    value = value.strip()
-    if len(value) > most or taboo is not None and (not value or value.lower() in taboo):
-        raise Rejected(f"{field} has a length or value that is not allowed")
-    return value
-
-
-def _flag(value) -> bool:
-    word = value.strip().lower() if isinstance(value, str) else "1" if value == 1 else "0" if value == 0 else ""
-    if isinstance(value, bool):
-        return value
-    if word not in TRUE + FALSE:
-        raise Rejected("is_current is no truth value")
-    return word in TRUE
-
-
-def _list(record: dict, field: str) -> list:
-    value = record.get(field, [])
-    if not isinstance(value, list):
-        raise Rejected(f"{field} is no list")
-    return value
-
-
-def read_reply(reply: str | None) -> dict:
-    """The record of one reply; raises Rejected if any field of it, or of any role, is not as declared."""
-    try:
-        record = json.loads(reply or "")
-    except ValueError as e:
-        raise Rejected(f"no JSON: {e}") from e
-    if not isinstance(record, dict):
-        raise Rejected("no object")
-    out: dict = {c: _text(record, c, n, fixed.NAME_PLACEHOLDERS if c == "candidate_name" else None) for c, n in LENGTHS.items()}
-    roles = []
-    for role in _list(record, "work_experience"):
-        if not isinstance(role, dict):
-            raise Rejected("a role is no object")
-        named = {c: _text(role, c, n, fixed.ROLE_PLACEHOLDERS if c in ("job_title", "company_name") else None) for c, n in ROLE_LENGTHS.items()}
-        roles.append(named | {"is_current": _flag(role.get("is_current", False))})
-    skills = _list(record, "skills")
-    if len(skills) > MOST_SKILLS or not all(isinstance(x, str) for x in skills):
-        raise Rejected("skills are too many or no texts")
-    return out | {"work_experience": roles, "skills": skills}
-
-
-def _read(batches):
-    import pyarrow as pa
-
-    for batch in batches:
-        rows = []
-        for key, reply in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            try:
-                rows.append((key, read_reply(reply), True, None))
-            except Rejected as e:
-                rows.append((key, None, False, str(e)))
-        role = pa.struct([*[(c, pa.string()) for c in ROLE_LENGTHS], ("is_current", pa.bool_())])
-        cv = pa.struct([*[(c, pa.string()) for c in LENGTHS], ("work_experience", pa.list_(role)), ("skills", pa.list_(pa.string()))])
-        kinds = (pa.string(), cv, pa.bool_(), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["submission_id", "cv", "is_valid", "error"])
+# ---- replies as variants: what a field is, what is wrong with it, what it gives ---------------------
+
+
+def _kind(record, field: str) -> Column:
+    """The type of a field as Spark names it: null if it is missing, VOID if it is null."""
+    return F.schema_of_variant(F.try_variant_get(record, f"$.{field}", "variant"))
+
+
+def _text(record, field: str, most: int, taboo=None) -> tuple[Column, Column]:
+    """(error or null, value) of a text: trimmed, of at most ``most`` code points; with ``taboo`` it must be there and mean something."""
+    kind, value = _kind(record, field), trimmed(F.try_variant_get(record, f"$.{field}", "string"))
+    odd = F.char_length(value) > most
+    if taboo is not None:
+        odd = odd | (value == "") | F.lower(value).isin(*taboo)
+    gone = F.lit(f"{field} is missing") if taboo is not None else F.lit(None).cast("string")
+    error = (
+        F.when(kind.isNull(), gone).when(kind != "STRING", F.lit(f"{field} is no text")).when(odd, F.lit(f"{field} has a length or value that is not allowed"))
+    )
+    return error, F.when(kind.isNull(), F.lit(DEFAULTS.get(field, ""))).otherwise(value)
+
+
+def _flag(record, field: str) -> tuple[Column, Column]:
+    """(error or null, value) of a truth value: also 1 and 0, and words for them; false if it is missing."""
+    kind = _kind(record, field)
+    word = F.lower(trimmed(F.try_variant_get(record, f"$.{field}", "string")))
+    number = F.try_variant_get(record, f"$.{field}", "double")
+    value = (
+        F.when(kind.isNull(), False)
+        .when(kind == "BOOLEAN", F.try_variant_get(record, f"$.{field}", "boolean"))
+        .when(kind == "STRING", F.when(word.isin(*TRUE), True).when(word.isin(*FALSE), False))
+        .otherwise(F.when(number == 1, True).when(number == 0, False))
+    )
+    return F.when(value.isNull(), F.lit(f"{field} is no truth value")), value
+
+
+def _items(record, field: str) -> tuple[Column, Column]:
+    """(error or null, array of variants) of a list, empty if it is missing."""
+    kind = _kind(record, field)
+    none = F.array().cast("array<variant>")
+    found = F.when(kind.startswith("ARRAY"), F.try_variant_get(record, f"$.{field}", "array<variant>")).otherwise(none)
+    return F.when(kind.isNotNull() & ~kind.startswith("ARRAY"), F.lit(f"{field} is no list")), found
+
+
+def _role(record) -> Column:
+    fields = {c: _text(record, c, n, fixed.ROLE_PLACEHOLDERS if c in ("job_title", "company_name") else None) for c, n in ROLE_LENGTHS.items()}
+    fields["is_current"] = _flag(record, "is_current")
+    whole = F.when(~F.schema_of_variant(record).startswith("OBJECT"), F.lit("a role is no object"))
+    return F.struct(F.coalesce(whole, *[e for e, _ in fields.values()]).alias("error"), F.struct(*[v.alias(c) for c, (_, v) in fields.items()]).alias("role"))
 
 
 def parsed(replies: DataFrame) -> DataFrame:
     """(submission_id, cv, is_valid, error): replies read as JSON once; one bad field or role rejects the whole.
 
-    Arrow batches and Python, as ``from_json`` turns numbers into text and cannot tell null from missing.
+    Types are told apart by the kinds of variants, so a number is no text and null is not missing.
+    A reply of more than 16 MB, or one that names a field twice, counts as no JSON.
     """
-    bare = replies.select("submission_id", bare_json(F.col("reply")).alias("reply"))
-    return bare.mapInArrow(_read, f"submission_id string, cv struct<{CV_SCHEMA.replace(' string', ':string').replace(' array', ':array')}>, is_valid boolean, error string")
+    record = F.col("record")
+    rows = replies.select("submission_id", F.try_parse_json(bare_json(F.col("reply"))).alias("record"))
+    fields = {c: _text(record, c, n, fixed.NAME_PLACEHOLDERS if c == "candidate_name" else None) for c, n in LENGTHS.items()}
+    roles_error, role_items = _items(record, "work_experience")
+    skills_error, skill_items = _items(record, "skills")
+    many = F.when((F.size(skill_items) > MOST_SKILLS) | F.exists(skill_items, lambda x: F.schema_of_variant(x) != "STRING"), F.lit("skills are too many or no texts"))
+    rows = rows.withColumn("roles", F.transform(role_items, _role))
+    bad_role = F.try_element_at(F.filter(F.transform("roles", lambda r: r["error"]), lambda e: e.isNotNull()), F.lit(1))
+    whole = F.when(record.isNull(), F.lit("no JSON")).when(~F.schema_of_variant(record).startswith("OBJECT"), F.lit("no object"))
+    error = F.coalesce(whole, *[e for e, _ in fields.values()], roles_error, bad_role, skills_error, many)
+    cv = F.struct(
+        *[v.alias(c) for c, (_, v) in fields.items()],
+        F.transform("roles", lambda r: r["role"]).alias("work_experience"),
+        F.transform(skill_items, lambda x: F.try_variant_get(x, "$", "string")).alias("skills"),
+    )
+    told = rows.withColumn("error", error)
+    valid = F.col("error").isNull()
+    return told.select("submission_id", F.when(valid, cv).alias("cv"), valid.alias("is_valid"), "error")
 
 
 def candidate_rows(cvs: DataFrame) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import text as T
-from ..operators import cleaning, company, ingest, jobs, quality, responsibility, timeline
+from ..operators import cleaning, company, evaluation, ingest, jobs, quality, responsibility, timeline
+from ..sources import files
+from ..sources.tables import Catalog, scratch_root
 from .projection import AS_OF, view, with_views
 
 _Q: dict = {}
@@ -240,6 +242,11 @@ def phone_e164(spark, sf_dir):
     return cleaning.candidates(view(spark, sf_dir, "people")).select("submission_id", "phone")
 
 
+@_query("SELECT submission_id, e164 AS phone FROM numbers", "numbers")
+def phone_plans(spark, sf_dir):
+    return cleaning.standard_phones(view(spark, sf_dir, "numbers").drop("e164"), "phone", "phone")
+
+
 _SKILLS = r"""WITH ss AS (SELECT skill_id, submission_id, skill_name AS raw_skill, d.canonical_skill AS normalized_skill,
 trim(regexp_replace(skill_name, '\s+', ' ', 'g')) AS clean
 FROM raw_skills LEFT JOIN (SELECT DISTINCT lower(alias) AS k, canonical_skill FROM dim_skills) d
@@ -338,13 +345,19 @@ UNION ALL SELECT 'location', trim(location), count(*) FROM we WHERE location_cou
     *_W,
 )
 def work_gaps(spark, sf_dir):
-    rows = _work(spark, sf_dir)
-    count = lambda df, kind, c: df.groupBy(F.lit(kind).alias("kind"), F.col(c).alias("name")).agg(F.count("*").alias("n"))
-    return (
-        count(cleaning.date_problems(rows, AS_OF), "problem", "problem")
-        .union(count(rows.where("seniority_level is null").withColumn("job_title", F.nullif("job_title", F.lit(""))), "title", "job_title"))
-        .union(count(rows.where("location_country is null and location <> ''"), "location", "location"))
-    )
+    return cleaning.summarize_gaps(_work(spark, sf_dir), AS_OF).where("kind <> 'rows'")
+
+
+@_query(
+    f"""{_PROBLEMS}, c AS (SELECT 'title' AS kind, nullif(trim(job_title), '') AS name, count(*) AS n FROM we WHERE seniority_level IS NULL GROUP BY ALL
+UNION ALL SELECT 'location', trim(location), count(*) FROM we WHERE location_country IS NULL AND trim(location) <> '' GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, name NULLS LAST) AS place FROM c)
+SELECT kind, name, n FROM r WHERE place <= 5 UNION ALL SELECT 'problem', problem, count(*) FROM pr GROUP BY ALL
+UNION ALL SELECT 'rows', CASE kind WHEN 'title' THEN 'without_seniority' ELSE 'without_country' END, CAST(sum(n) AS BIGINT) FROM c GROUP BY ALL""",
+    *_W,
+)
+def gap_summary(spark, sf_dir):
+    return cleaning.summarize_gaps(_work(spark, sf_dir), AS_OF, 5)
 
 
 @_query(
@@ -362,7 +375,7 @@ def work_summary(spark, sf_dir):
 # ---- bronze ------------------------------------------------------------------------
 
 _WORDS = ", ".join("'" + w.replace("'", "''") + "'" for w in fixed.PROFILE_WORDS)
-_CATEGORY = ", ".join(f"('{s}', '{c}')" for c, skills in fixed.SKILL_CATEGORIES.items() for s in skills)
+_CATEGORY = ", ".join(f"('{s}', '{c}')" for s, c in fixed.SKILL_CATEGORIES.items())
 
 
 @_query(
@@ -412,9 +425,12 @@ def change_action(spark, sf_dir):
 )
 def delete_changed(spark, sf_dir):
     now, prior = _now_and_prior(spark, sf_dir)
-    todo = ingest.actions(now, prior).where("action <> 'unchanged'").select("submission_id")
-    kept = prior.join(todo, "submission_id", "left_anti").select("submission_id", F.lit(False).alias("fresh"))
-    return kept.union(todo.select("submission_id", F.lit(True)))
+    tables = Catalog(spark, scratch_root(spark), {"bronze.texts": "submission_id string, fresh boolean"}, buckets=16)
+    tables.replace("bronze.texts", prior.withColumn("fresh", F.lit(False)))
+    todo = tables.kept(ingest.actions(now, prior).where("action <> 'unchanged'"), "todo")
+    tables.delete(["bronze.texts"], todo.where("action = 'changed'"))
+    tables.append("bronze.texts", todo.withColumn("fresh", F.lit(True)))
+    return tables.read("bronze.texts")
 
 
 @_query("SELECT path, submission_id FROM texts", "texts")
@@ -505,9 +521,17 @@ def alias_explode(spark, sf_dir):
     return aliases(dims)
 
 
-@_query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {c}, {str(d).lower()})" for a, b, c, d in fixed.LADDER) + ") t(level, band, months, junior)")
+@_query(
+    "SELECT level, band, months, junior, count(experience_id) AS n_roles FROM (VALUES "
+    + ", ".join(f"('{a}', '{b}', {c}, {str(d).lower()})" for a, b, c, d in fixed.LADDER)
+    + ") t(level, band, months, junior) LEFT JOIN jobs ON seniority_level = level GROUP BY ALL",
+    "jobs",
+)
 def ladder(spark, sf_dir):
-    return spark.createDataFrame(list(fixed.LADDER), "level string, band string, months int, junior boolean")
+    """The ladder with how many roles stand on each level."""
+    levels = spark.createDataFrame(list(fixed.LADDER), "level string, band string, months int, junior boolean")
+    held = view(spark, sf_dir, "jobs").groupBy(F.col("seniority_level").alias("level")).agg(F.count("*").alias("n_roles"))
+    return levels.join(held, "level", "left").fillna(0, ["n_roles"])
 
 
 @_query("SELECT experience_id, unnest(list_filter(string_split(replace(description, ' ', '|'), '|'), lambda x: x <> '')) AS word FROM jobs WHERE description IS NOT NULL", "jobs")
@@ -619,3 +643,86 @@ SELECT 'confidence' AS kind, confidence AS name, count(*) AS n FROM c2 GROUP BY
 )
 def resp_summary(spark, sf_dir):
     return timeline.summary(responsibility.signal(view(spark, sf_dir, "jobs")))
+
+
+# ---- planted flaws, a whole register ---------------------------------------------------
+
+#: The views also plant gaps, which the signals show though no recorded flaw is called so.
+_SHOWN_BY = evaluation.SHOWN_BY | {"career_gap": ("long_gap", "very_long_gap")}
+_SHOWS = ", ".join(f"('{flaw}', '{name}')" for flaw, names in _SHOWN_BY.items() for name in names)
+_EVALUATED = f"""{_FINDINGS}, {_CLAIMS[5:]}, shows(flaw, name) AS (VALUES {_SHOWS}),
+tr AS (SELECT id, unnest(list_filter(string_split(flaws, '|'), lambda x: x <> '')) AS flaw FROM recorded),
+fn AS (SELECT submission_id AS id, name FROM fd UNION SELECT submission_id, name FROM rf),
+sc AS (SELECT DISTINCT id, flaw FROM fn JOIN shows USING (name) WHERE id IN (SELECT id FROM recorded))"""
+
+
+def _truth(spark, sf_dir):
+    """The planted flaws, through the ground truth's own file."""
+    path = f"{scratch_root(spark)}/ground_truth"
+    files.record(view(spark, sf_dir, "recorded").select("id", F.split("flaws", r"\|").alias("inconsistency_types")), path)
+    return files.ground_truth(spark, path)
+
+
+def _found(spark, sf_dir):
+    roles = view(spark, sf_dir, "jobs")
+    return evaluation.found([timeline.signal(roles, AS_OF), responsibility.signal(roles)])
+
+
+@_query("SELECT id, unnest(list_filter(string_split(flaws, '|'), lambda x: x <> '')) AS flaw FROM recorded", "recorded")
+def planted_flaws(spark, sf_dir):
+    return _truth(spark, sf_dir).select("id", F.explode("inconsistency_types").alias("flaw"))
+
+
+@_query(
+    f"""{_EVALUATED}, b AS (SELECT coalesce(tr.flaw, sc.flaw) AS flaw, tr.id IS NOT NULL AS t, sc.id IS NOT NULL AS c
+  FROM tr FULL JOIN sc ON tr.id = sc.id AND tr.flaw = sc.flaw)
+SELECT flaw, count(*) FILTER (t) AS planted, count(*) FILTER (c) AS claimed, count(*) FILTER (t AND c) AS hits, count(*) FILTER (t AND NOT c) AS missed,
+  count(*) FILTER (c AND NOT t) AS false_alarms, (SELECT count(*) FROM recorded) - count(*) AS clean,
+  count(*) FILTER (t AND c) / nullif(count(*) FILTER (c), 0) AS precision, count(*) FILTER (t AND c) / nullif(count(*) FILTER (t), 0) AS recall
+FROM b GROUP BY flaw""",
+    "jobs",
+    "recorded",
+)
+def flaw_scores(spark, sf_dir):
+    truth = _truth(spark, sf_dir).withColumnRenamed("id", "submission_id")
+    return evaluation.scores(truth, _found(spark, sf_dir), _SHOWN_BY)
+
+
+@_query(
+    f"""{_EVALUATED} SELECT coalesce(tr.flaw, 'none') AS flaw, coalesce(fn.name, 'none') AS name, count(*) AS n
+FROM recorded r LEFT JOIN tr ON tr.id = r.id LEFT JOIN fn ON fn.id = r.id GROUP BY ALL""",
+    "jobs",
+    "recorded",
+)
+def flaw_confusion(spark, sf_dir):
+    truth = _truth(spark, sf_dir).withColumnRenamed("id", "submission_id")
+    return evaluation.confusion(truth, _found(spark, sf_dir))
+
+
+_MATCHED = f"""WITH nm AS (SELECT DISTINCT q, list_distinct(string_split(q, ' ')) AS a FROM (SELECT {_COMPANY.format("company_name")} AS q FROM raw_jobs) WHERE q <> ''),
+rg AS (SELECT company_number, title, t, list_distinct(string_split(t, ' ')) AS b FROM (SELECT *, {_COMPANY.format("title")} AS t FROM register) WHERE t <> ''),
+mt AS (SELECT q AS query_normalized, company_number, title, CASE WHEN list_has_all(a, b) AND list_has_all(b, a) THEN 'exact' ELSE 'partial' END AS match_kind
+  FROM nm JOIN rg ON list_has_all(a, b) OR list_has_all(b, a))"""
+
+
+@_query(f"{_MATCHED} SELECT * FROM mt", "raw_jobs", "register")
+def register_matches(spark, sf_dir):
+    """Every match of an employer's name in the whole register."""
+    names = view(spark, sf_dir, "raw_jobs").select(T.company_name(F.col("company_name")).alias("query_normalized"))
+    return company.register_matches(names, view(spark, sf_dir, "register"))
+
+
+@_query(
+    f"""{_MATCHED}, bs AS (SELECT query_normalized, min({{'k': match_kind, 'n': company_number}}) AS m FROM mt GROUP BY ALL)
+SELECT experience_id, m.n AS matched_company_number, CASE m.k WHEN 'exact' THEN 'confirmed' WHEN 'partial' THEN 'partial_match' ELSE 'unconfirmed' END AS status
+FROM (SELECT experience_id, {_COMPANY.format("company_name")} AS q FROM raw_jobs) LEFT JOIN bs ON query_normalized = q""",
+    "raw_jobs",
+    "register",
+)
+def register_status(spark, sf_dir):
+    """Employers verified with the whole register as the search."""
+    roles = view(spark, sf_dir, "raw_jobs")
+    cache = spark.createDataFrame([], "query_normalized string, results array<struct<company_number:string,title:string>>")
+    search = company.searching(view(spark, sf_dir, "register"))
+    verdicts, _ = company.verify(roles, roles.limit(0), cache, search)
+    return verdicts.select("experience_id", "matched_company_number", "status")

@@ -103,6 +103,34 @@ SELECT concat('cv_', CAST(event_id AS VARCHAR(20))) AS submission_id, event_id %
             WHEN 13 THEN concat('{"candidate_name": "Ann", "phone": "', repeat('0', 51), '"}') WHEN 14 THEN '[]'
             ELSE '{"candidate_name": " candidate "}' END AS reply FROM events""",
 }
+#: For numbers by plan: calling code, first digits and length of the national number.
+DIALLED = (
+    ("1", "212555", 10), ("27", "82", 9), ("30", "69", 10), ("31", "6", 9), ("32", "47", 9), ("33", "6", 9), ("34", "61", 9), ("36", "20", 9),
+    ("39", "347", 10), ("40", "72", 9), ("41", "79", 9), ("43", "664", 10), ("44", "79", 10), ("45", "20", 8), ("46", "70", 9), ("48", "60", 9),
+    ("49", "151", 11), ("61", "4", 9), ("64", "21", 9), ("81", "90", 10), ("86", "138", 11), ("90", "532", 10), ("91", "98", 10), ("351", "91", 9),
+    ("353", "87", 9), ("358", "40", 9), ("420", "60", 9),
+)
+_DIALLED = ", ".join(f"('{c}', '{d}', {n}, {k})" for k, (c, d, n) in enumerate(DIALLED))
+VIEWS |= {
+    "numbers": f"""
+SELECT concat('cv_', CAST(c_custkey AS VARCHAR(20))) AS submission_id,
+       CASE WHEN c_custkey % 5 = 0 THEN concat('+', code, ' ', substring(rest, 1, 3)) WHEN c_custkey % 5 = 1 THEN concat('00', code, '-', rest)
+            WHEN c_custkey % 5 = 2 THEN concat('+', code, ' (', substring(rest, 1, 2), ') ', substring(rest, 3, 20)) ELSE concat('+', code, rest) END AS phone,
+       CASE WHEN c_custkey % 5 <> 0 THEN concat('+', code, rest) END AS e164
+FROM (SELECT c_custkey, code, concat(lead, lpad(CAST(c_custkey % 10000 AS VARCHAR(9)), CAST(n - length(lead) AS INT), '0')) AS rest
+      FROM customer JOIN (SELECT * FROM (VALUES {_DIALLED}) AS v(code, lead, n, k)) plans ON c_custkey % {len(DIALLED)} = k) x""",
+    "recorded": f"""
+SELECT concat('cv_', CAST(o_custkey AS VARCHAR(20))) AS id, concat_ws('|',
+         CASE WHEN max(CASE WHEN o_orderkey % 12 IN (2, 3, 4) AND nx IS NOT NULL THEN 1 ELSE 0 END) = 1 THEN 'date_overlap' END,
+         CASE WHEN max(CASE WHEN o_orderkey % 12 IN (0, 1) AND nx IS NOT NULL THEN 1 ELSE 0 END) = 1 THEN 'career_gap' END,
+         CASE WHEN max(CASE WHEN o_orderkey % 6 = 0 AND o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) = 1 THEN 'career_incoherent' END) AS flaws
+FROM ({_ROLES}) q GROUP BY o_custkey""",
+    "register": """
+SELECT CAST(s_suppkey AS VARCHAR(20)) AS company_number,
+       concat(CASE s_suppkey % 5 WHEN 0 THEN 'Group Supplier ' WHEN 1 THEN 'HOLDINGS, Supplier ' WHEN 2 THEN '' WHEN 3 THEN 'Trading ' ELSE 'SUPPLIER  ' END,
+              CAST(s_suppkey % 50 AS VARCHAR(9)), CASE s_suppkey % 3 WHEN 0 THEN ' Ltd.' WHEN 1 THEN ' (UK) Limited' ELSE '' END) AS title
+FROM supplier""",
+}
 TABLES = ("orders", "customer", "nation", "part", "documents", "events", "supplier")
 
 

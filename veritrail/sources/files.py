@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import id_of_path, trimmed
 
@@ -23,6 +24,31 @@ def documents(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataF
     )
 
 
+def listed(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
+    """(submission_id, cv_file_path, modified_at, length) of the files below a folder; their contents are not read.
+
+    A folder that is not there has none. A file's id is its name, whatever folder it lies in.
+    """
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], "submission_id string, cv_file_path string, modified_at timestamp, length bigint")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
+    return files.select(id_of_path(F.col("path")).alias("submission_id"), F.col("path").alias("cv_file_path"), F.col("modificationTime").alias("modified_at"), "length")
+
+
+def pending(specs: DataFrame, recorded: DataFrame, files: DataFrame) -> DataFrame:
+    """``specs`` (id, filename and others) still to make: neither recorded by id nor there as a file of that name."""
+    there = files.select(F.element_at(F.split("cv_file_path", "/"), -1).alias("filename")).distinct()
+    return specs.join(recorded.select("id").distinct(), "id", "left_anti").join(there, "filename", "left_anti").select(*specs.columns)
+
+
+def without_file(recorded: DataFrame, files: DataFrame) -> DataFrame:
+    """``recorded`` (id and others) whose file is missing: no file's name begins with the id and an underscore, or is the id."""
+    names = files.select("submission_id", F.substring_index("submission_id", "_", 1).alias("begin"))
+    ids = names.select(F.explode(F.array("submission_id", "begin")).alias("id")).distinct()
+    return recorded.join(ids, "id", "left_anti")
+
+
 def extracted(files: DataFrame, extract: Callable[[bytes], str]) -> DataFrame:
     """Texts by an injected extractor, with an error column: one bad file does not stop the others."""
 
@@ -120,7 +146,7 @@ GROUND_TRUTH = "id string, folder string, role string, seniority string, years s
 
 
 def ground_truth(spark: SparkSession, path: str) -> DataFrame:
-    """The recorded documents with their planted flaws as a list; a missing file has none."""
+    """The recorded documents with their planted flaws as a list; a missing file has none. A folder of such files is one."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         rows = spark.createDataFrame([], GROUND_TRUTH)
@@ -134,6 +160,31 @@ def recorded_ids(spark: SparkSession, path: str) -> DataFrame:
     return ground_truth(spark, path).select("id").distinct()
 
 
-def archive(df: DataFrame, path: str) -> None:
-    """One JSON object a row, dates and times as text."""
-    df.write.mode("append").json(path)
+def record(rows: DataFrame, path: str) -> None:
+    """Adds documents to the ground truth at ``path``, a folder of headed CSV files; flaws are joined by bars.
+
+    Missing columns are left blank.
+    """
+    kinds = dict(rows.dtypes)
+    columns = []
+    for name in (c.split(" ")[0] for c in GROUND_TRUTH.split(", ")):
+        value = F.col(name) if name in kinds else F.lit(None)
+        columns.append((F.array_join(value, "|") if kinds.get(name, "").startswith("array") else value.cast("string")).alias(name))
+    rows.select(*columns).write.mode("append").option("header", True).option("escape", '"').csv(path)
+
+
+def archive(df: DataFrame, path: str, buckets: int = 64) -> None:
+    """One JSON object for each submission_id, dates and times as text, under ``path``; a later one takes the earlier one's place.
+
+    Objects lie in buckets by id, and only the buckets of ``df`` are read and written again. Of
+    rows that share an id in ``df`` one stays.
+    """
+    spark = df.sparkSession
+    rows = df.dropDuplicates(["submission_id"]).withColumn("_bucket", F.pmod(F.xxhash64("submission_id"), F.lit(buckets)).cast("int"))
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        touched = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most ``buckets``
+        told = T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])
+        old = spark.read.schema(told).json(path).where(F.col("_bucket").isin(touched))
+        rows = old.join(rows.select("submission_id"), "submission_id", "left_anti").unionByName(rows)
+    rows.hint("rebalance", "_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").json(path)
