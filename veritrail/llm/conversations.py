@@ -14,10 +14,10 @@ from __future__ import annotations
 import functools
 import hashlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import spare, written
+from .common import written
 
 #: Rows of a piece, as a power of two.
 PIECE_BITS = 11
@@ -381,12 +381,10 @@ def without_faults(conversations: DataFrame) -> DataFrame:
 
     Nulls in a role or text count as one space.
     """
-    from pyspark.sql import Window
-
     own = [F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")]
     _, turns = repaired(conversations.select("conv_id", "turn", *own))
-    place = spare(turns.columns, "place")
-    return turns.withColumn(place, F.row_number().over(Window.partitionBy("conv_id").orderBy("pos", "at")) - 1).select("conv_id", place, "turn", "role", "text", "edit")
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("pos", "at")) - 1
+    return turns.select("conv_id", place.alias("place"), "turn", "role", "text", "edit")
 
 
 def _crc_sql(text: str) -> str:
