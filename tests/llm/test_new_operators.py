@@ -113,7 +113,7 @@ def test_repaired_turns_and_empty_table(spark):
     rows = [(1, 0, "user", "Hello."), (1, 1, "user", "Again."), (1, 2, "assistant", "Yes."), (1, 3, None, " ")]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = [(r["place"], r["role"], r["text"], r["edit"]) for r in conversations.without_faults(table).orderBy("place").collect()]
-    assert got == [(0, "user", "Again.", "K"), (1, "assistant", "Yes.", "K")]
+    assert got == [(0, "user", "Hello.", "K"), (1, "assistant", "", "I"), (2, "user", "Again.", "K"), (3, "assistant", "Yes.", "K")]
     assert conversations.repair_report(table.limit(0)).count() == 0
     assert conversations.without_faults(table.limit(0)).count() == 0
 
@@ -152,7 +152,7 @@ def _plain_whitening(vectors, k=4):
 def test_whitening_against_numpy(spark):
     rng = np.random.default_rng(3)
     vectors = (rng.normal(size=(300, 6)) @ np.diag([5, 3, 2, 1, 0.5, 0.2]) + 7).astype(np.float32).tolist()
-    vectors += vectors[:40] * 3 + [vectors[0][:4], None, [1.0, None, 0, 0, 0, 0], [float("nan")] * 6, [float("inf")] + [0.0] * 5]
+    vectors += vectors[:40] * 3 + [vectors[0][:4], None, [1.0, None, 0.0, 0.0, 0.0, 0.0], [float("nan")] * 6, [float("inf")] + [0.0] * 5]
     table = spark.createDataFrame([(i if i else None, v, "x") for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, x string").repartition(5)
     n, deviation, white, explained = _plain_whitening(vectors)
     got = whitening.whitened(table).collect()
@@ -178,7 +178,7 @@ def test_whitening_at_the_edges(spark):
     assert [r["whitened"] for r in flat if r["component"] == 2] == [None, None]
     assert sorted(round(r["whitened"], 12) for r in flat if r["component"] == 1) == [-1.0, 1.0] and flat[0]["explained"] == 1.0
     far = run([(1, [1e300]), (2, [-1e300]), (3, [0.0])])  # beyond 64 bits
-    assert [r["deviation"] for r in far] == [None, None, 9] and all(np.isfinite(r["whitened"]) for r in far)
+    assert [r["deviation"] for r in far] == [None, None, 1] and all(np.isfinite(r["whitened"]) for r in far)
 
 
 # ---- exact dedup -----------------------------------------------------------

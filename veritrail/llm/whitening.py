@@ -35,7 +35,8 @@ def _matrix(column, dims: int) -> np.ndarray:
 
 def _centred(x: np.ndarray, model: dict) -> np.ndarray:
     """x - S / n: the mean's whole part goes off as an integer, so no digit is lost to it."""
-    if np.abs(x).max(initial=0) < 2**61 and np.abs(model["floor"]).max(initial=0) < 2**61:
+    most = 2**61
+    if -most < min(x.min(initial=0), model["floor"].min()) and max(x.max(initial=0), model["floor"].max()) < most:
         return (x - model["floor"]) - model["rest"]
     return x.astype(np.float64) - model["floor"] - model["rest"]
 
@@ -96,7 +97,7 @@ def _whitened_products(shared, dims: int, k: int):
 def _deviations(x: np.ndarray, model: dict) -> list:
     """Exact sums of (n x - S)^2; None where such a sum is no 64-bit integer."""
     n, sums = model["n"], model["sums"]
-    most = n * int(np.abs(x.astype(object)).max() if x.size and x.min() == -(2**63) else np.abs(x).max(initial=0)) + max(map(abs, sums), default=0)
+    most = n * max(-int(x.min(initial=0)), int(x.max(initial=0))) + max(map(abs, sums), default=0)
     if most * most * max(len(sums), 1) < 2**63:
         return ((n * x - np.array(sums, dtype=np.int64)) ** 2).sum(axis=1).tolist()
     found = (sum((n * v - s) ** 2 for v, s in zip(row, sums, strict=True)) for row in x.tolist())
