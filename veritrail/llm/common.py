@@ -38,12 +38,12 @@ def _at(spark: SparkSession, path: str):
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: cuts the lineage.
 
-    The table goes with the application, or earlier by :func:`dropped`. Unless the session says
-    otherwise, a query's shuffle files go as soon as the query ends.
+    The table goes with the application, or earlier by :func:`dropped`. A query's shuffle files go as
+    soon as the query ends, unless the session has a setting of its own for that.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
-    if spark.conf.get(_CLEANUP, None) != "true":
+    if not spark._jsparkSession.sessionState().conf().contains(_CLEANUP):
         spark.conf.set(_CLEANUP, "true")
     df.write.parquet(path)
     fs, p = _at(spark, path)

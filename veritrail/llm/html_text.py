@@ -3,6 +3,11 @@
 A page is cut into blocks at block-level tags. A block's features are its words and link density
 and those of its neighbours, and what its open elements say (inside an article, inside page
 furniture, a heading). The tree is grown on the driver from the labelled table below.
+
+Names of classes mislead, so they bind only where they are plain. An element around an article, or
+one whose name only holds a telling word among others, no longer counts as furniture once an article
+opens in it. Where a page is left without any text, blocks are decided anew by their words and link
+density alone, by a tree grown from the same table without what elements say.
 """
 
 from __future__ import annotations
@@ -32,6 +37,15 @@ HINTS = frozenset(
     " notice notices overlay pager pagination paywall popup related reply respond search share sharing sidebar signup skip social"
     " subscribe subscription teaser toolbar widget masthead alert toc".split()
 )
+# Words beside which a telling word stays plain.
+NEUTRAL = frozenset(
+    "area bar bottom block body box col column container content global group inner item items left link links list main mobile outer page"
+    " panel primary region right row secondary section site slot text title top unit wrap wrapper zone".split()
+)
+#: Furniture that may stand around an article.
+LOOSE = frozenset("form nav header menu search".split())
+#: Words that the second tree must find before a page without text gets one.
+LEAST_WORDS = 20
 MAIN_HINTS = frozenset("article main content post entry story articlebody".split())
 
 #: name -> position of a block's features
@@ -92,6 +106,16 @@ def tree():
     return grow(list(TABLE))
 
 
+@cache
+def plain_tree():
+    """Grown without what elements say, but for headings.
+
+    Rows that only elements tell apart are left out: furniture without links, an article's links.
+    """
+    blank = [((*x[:6], 0, 0, x[8]), y) for x, y in TABLE if (x[1] < 0.5 if y else not x[7] or x[1] >= 0.3)]
+    return grow(blank)
+
+
 def decide(node, x) -> int:
     while isinstance(node, tuple):
         f, bound, below, above = node
@@ -111,37 +135,47 @@ _PARTS = re.compile(r"[a-z]+")
 _CLOSING = {name: re.compile(rf"</{name}\s*+>", re.I) for name in RAW}
 
 
-def _element(name: str, attrs: str) -> tuple[int, int]:
-    """Whether an element opens main text, and whether it opens furniture."""
-    inside, furniture = int(name in ("article", "main")), int(name in FURNITURE)
+def _element(name: str, attrs: str, within: bool) -> tuple[int, int, bool]:
+    """Whether an element opens main text, whether it opens furniture, and whether that furniture is loose.
+
+    ``within``: it stands inside main text, where a telling word among others tells nothing.
+    """
+    inside, furniture, loose = int(name in ("article", "main")), int(name in FURNITURE), True
+    firm = furniture and name not in LOOSE
     if attrs:
         for m in _ATTR.finditer(attrs):
             if m[5]:
-                furniture = 1
+                furniture = firm = 1
                 continue
             value = (m[2] or m[3] or m[4] or "").lower()
             if m[1].lower() == "style":
-                furniture |= int("display:none" in value.replace(" ", ""))
+                if "display:none" in value.replace(" ", ""):
+                    furniture = firm = 1
                 continue
             for whole in value.split():
-                words = set(_PARTS.findall(whole))
+                words = {w for w in _PARTS.findall(whole) if len(w) > 1}
                 hints = words & HINTS
                 if whole in MAIN_HINTS:
                     inside = 1
                 elif hints == {"header"} and words & MAIN_HINTS:
                     continue  # the head of a post holds its title
                 elif name not in ("html", "body", "article", "main") and hints:
-                    furniture = 1
-    return inside, furniture
+                    if words <= HINTS | NEUTRAL:
+                        furniture = 1
+                        firm = firm or not hints <= LOOSE | {"paywall"}
+                    elif not within:
+                        furniture = 1
+    loose = bool(furniture) and not firm
+    return inside, furniture, loose
 
 
 def blocks(page: str) -> list[list]:
-    """[text, words, words in links, inside, furniture, heading] of each block that holds text."""
+    """[text, words, words in links, inside, furniture, heading, firm furniture] of each block that holds text."""
     out: list[list] = []
     text: list[str] = []
     linked = 0
-    stack: list[tuple[str, int, int]] = []
-    inside = furniture = links = heading = 0
+    stack: list[tuple[str, int, int, bool]] = []
+    inside = furniture = links = heading = loosely = 0
     opened = Counter()  # names on the stack
     unclosed = set()  # elements of RAW without a closing tag in the rest of the page
 
@@ -151,7 +185,7 @@ def blocks(page: str) -> list[list]:
             # references are read once the block is whole, as tags inside a word do not end it
             words = html.unescape("".join(text)).split()
             if words:
-                out.append([" ".join(words), len(words), min(linked, len(words)), inside, furniture, heading])
+                out.append([" ".join(words), len(words), min(linked, len(words)), inside, furniture, heading, furniture - loosely])
             text.clear()
         linked = 0
 
@@ -184,28 +218,35 @@ def blocks(page: str) -> list[list]:
         if m["close"]:
             if opened[name]:
                 while stack:
-                    was, i, f = stack.pop()
+                    was, i, f, loose = stack.pop()
                     opened[was] -= 1
                     inside -= i
                     furniture -= f
+                    loosely -= loose
                     links -= was == "a"
                     heading -= was in ("h1", "h2", "h3", "h4", "h5", "h6")
                     if was == name:
                         break
         elif name not in VOID and not m["attrs"].endswith("/"):
             if name in ("p", "li", "a", "option", "tr", "td", "th", "dd", "dt") and stack and stack[-1][0] == name:
-                was, i, f = stack.pop()
+                was, i, f, loose = stack.pop()
                 opened[was] -= 1
-                inside, furniture, links = inside - i, furniture - f, links - (was == "a")
-            i, f = _element(name, m["attrs"])
-            if name == "header" and not inside:
-                f = 1
+                inside, furniture, links, loosely = inside - i, furniture - f, links - (was == "a"), loosely - loose
+            i, f, loose = _element(name, m["attrs"], inside > 0)
+            if name == "header" and not inside and not f:
+                f, loose = 1, True
             if name == "a" and links:
                 i = f = 0
-            stack.append((name, i, f))
+                loose = False
+            if name in ("article", "main") and loosely and not f:
+                # what stands around an article is no furniture from here on
+                stack = [(was, k, 0 if free else g, False) for was, k, g, free in stack]
+                furniture, loosely = furniture - loosely, 0
+            stack.append((name, i, f, loose))
             opened[name] += 1
             inside += i
             furniture += f
+            loosely += loose
             links += name == "a"
             heading += name in ("h1", "h2", "h3", "h4", "h5", "h6")
     if at < len(page):
@@ -220,14 +261,16 @@ def main_text(page: str | None, node) -> str:
         return ""
     found = blocks(page)
     density = [b[2] / b[1] for b in found]
-    kept = []
+    features = []
     for k, b in enumerate(found):
         before = (found[k - 1][1], density[k - 1]) if k else (0, 0.0)
         after = (found[k + 1][1], density[k + 1]) if k + 1 < len(found) else (0, 0.0)
-        x = (b[1], density[k], *before, *after, int(b[3] > 0), int(b[4] > 0), int(b[5] > 0))
-        if decide(node, x):
-            kept.append(b[0])
-    return " ".join(kept)
+        features.append((b[1], density[k], *before, *after, int(b[3] > 0), int(b[4] > 0), int(b[5] > 0)))
+    kept = [b for b, x in zip(found, features, strict=True) if decide(node, x)]
+    if not kept and found:
+        again = [b for b, x in zip(found, features, strict=True) if not b[6] and decide(plain_tree(), (*x[:6], 0, 0, x[8]))]
+        kept = again if sum(b[1] for b in again) >= LEAST_WORDS else []
+    return " ".join(b[0] for b in kept)
 
 
 def _extract(node):
