@@ -37,3 +37,37 @@ def test_families_of_other_wordings(spark):
     docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
     got = {r["doc_id"]: r["families"] for r in licenses.license_scan(docs).collect()}
     assert got == {k: f for k, (f, _) in enumerate(rows)}
+
+
+LESSER = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details."""
+AFFERO = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+
+
+def test_siblings_denials_and_two_licences(spark):
+    """A paragraph that names another licence of the family, that denies one, or that gives a choice."""
+    prose = "The sun rose over the quiet harbour and the boats went out one after another. "
+    rows = [
+        ("LGPL", LESSER), ("LGPL", LESSER.replace("2.1", "3")), ("AGPL-3.0", AFFERO), ("GPL-3.0", AFFERO.replace("Affero ", "")),
+        ("", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."), ("", "Licensed under CC BY-ND 4.0."),
+        ("", "Licensed under CC BY-NC-ND 4.0."), ("CC-BY", "Licensed under CC BY 4.0."), ("CC-BY-SA", "Licensed under CC BY-SA 4.0."),
+        ("", "This is not licensed under the MIT license."), ("", prose + "The tool is not available under the Apache License, Version 2.0. " + prose),
+        ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"), ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"), ("LGPL", "SPDX-License-Identifier: LGPL-2.1-or-later"),
+        ("Apache-2.0,MIT", "SPDX-License-Identifier: MIT OR Apache-2.0"), ("Apache-2.0,MIT", "Licensed under either of Apache License, Version 2.0 or MIT license at your option."),
+        ("MIT", "Publié sous licence MIT"), ("MIT", "Publicado bajo la licencia MIT"), ("MIT", prose + "Published under the MIT license, see below. " + prose),
+        ("GPL-2.0,LGPL", "Distributed under the GPLv2 or the GNU Lesser General Public License, version 2.1"),
+        ("BSD", "Copyright (c) 2001 Somebody. All rights reserved.\nRedistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ]
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["families"] for r in licenses.license_scan(docs).collect()}
+    assert {k: (rows[k][1], f) for k, f in got.items() if f != rows[k][0]} == {}

@@ -7,6 +7,11 @@ class, both where those are likeliest; a prediction counts only above a probabil
 confirmed by comparing words with the family's templates. Weights are integers (thousandths), so
 every engine adds them up alike.
 
+A family is also confirmed, beside others, where one of its templates stands entire and the family is
+likelier than none: a notice can name two licences. What the paragraph says of a sibling licence
+(lesser, affero, no derivatives) contradicts a family unless the family is named as well, and a piece
+that denies a licence confirms none.
+
 A paragraph is looked at through its lines and through windows of words around anchors, so that
 neither line breaks nor the text around a notice hide it. Anchors are words and word pairs of the
 templates, as many of each that without them less than the confirming share of it is left: words
@@ -31,6 +36,11 @@ CONFIRM = 0.5
 #: Least calibrated probability of a family.
 LEAST = 0.6
 
+#: Share of a template that counts as entire: all of it.
+ENTIRE = 0.9999
+#: The family that stands in notices of others, so an entire template proves nothing.
+WEAK = "Proprietary"
+
 #: Words on either side of an anchor that a window takes: close to it, and more than any template has.
 NEAR, FAR = 8, 30
 # Words common in prose, which are no anchors by themselves.
@@ -52,11 +62,16 @@ TEMPLATES = {
         "you may not use this file except in compliance with the License",
         "SPDX-License-Identifier: Apache-2.0",
         "Released under Apache 2.0",
+        "Apache License, Version 2.0",
+        "Apache-2.0",
         "Lizenziert unter der Apache-Lizenz, Version 2.0",
         "distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
     ),
     "MIT": (
         "Released under the MIT License.",
+        "MIT license",
+        "Publié sous licence MIT",
+        "Publicado bajo la licencia MIT",
         "Licensed under the MIT license",
         "SPDX-License-Identifier: MIT",
         "Lizenziert unter der MIT-Lizenz",
@@ -64,23 +79,31 @@ TEMPLATES = {
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
+        "GNU General Public License version 3",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
         "Distributed under the GPLv3",
         "either version 3 of the License, or (at your option) any later version of the GNU General Public License",
     ),
     "GPL-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
+        "GNU General Public License version 2",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
         "Distributed under the GPLv2",
         "either version 2 of the License, or (at your option) any later version of the GNU General Public License",
     ),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1",
+        "GNU Lesser General Public License",
         "SPDX-License-Identifier: LGPL-3.0-only",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
     ),
     "AGPL-3.0": (
         "This program is licensed under the GNU Affero General Public License, version 3.",
+        "GNU Affero General Public License",
         "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
     ),
     "BSD": (
         "Licensed under the BSD 3-Clause License",
@@ -117,6 +140,21 @@ TEMPLATES = {
         "Copyright the authors. All rights reserved.",
     ),
 }
+_GNU = {"against": ("lesser general", "library general", "affero general", "lgpl", "agpl"), "unless": ("gnu general", "gpl", "gplv2", "gplv3")}
+_NO_DERIVATIVES = ("by nd", "nc nd", "noderivatives", "noderivs", "no derivatives", "no derivs")
+_NO_COMMERCE = ("by nc", "noncommercial", "non commercial")
+_ALIKE = ("by sa", "nc sa", "sharealike", "share alike")
+# Words and pairs that contradict a family, unless the paragraph also has one of the others.
+SIBLINGS = {
+    "GPL-3.0": _GNU,
+    "GPL-2.0": _GNU,
+    "CC-BY": {"against": _NO_DERIVATIVES + _NO_COMMERCE + _ALIKE, "unless": ("by 4", "by 3", "attribution 4", "attribution 3")},
+    "CC-BY-NC": {"against": _NO_DERIVATIVES + _ALIKE, "unless": ("nc 4", "nc 3", "noncommercial 4", "noncommercial 3")},
+    "CC-BY-SA": {"against": _NO_DERIVATIVES + _NO_COMMERCE, "unless": ("by sa", "attribution sharealike")},
+    "Proprietary": {"against": ("licensed under", "permission is", "redistribution and", "spdx license", "public license"), "unless": ()},
+}
+# A piece that denies a licence, its words joined by spaces.
+DENIED = "(?:^| )(?:not|never|no longer|isn t|nicht|pas|no est[a-z]*) (?:[a-z]+ )?(?:licensed|released|distributed|available|covered|published|lizenziert|publi[a-z]*|under|unter|sous|bajo)(?: |$)"
 # Paragraphs with a notice's words that are no notices.
 OTHERS = (
     "He lost his driving licence on the way home", "The licence fee rises next year", "she asked for permission to leave the room",
@@ -126,6 +164,8 @@ OTHERS = (
     "The tax was meant to redistribute wealth", "a gnu is a large antelope", "The paintings are now in the public domain",
     "fishing licences are sold at the harbour", "the version of the story that the general told the public",
     "They work under the same conditions as the others", "this software is free of charge for schools",
+    "Licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License", "Licensed under CC BY-ND 4.0",
+    "Licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "Licensed under CC BY-NC-ND 4.0",
 )
 # Other wordings, for calibration alone; "unknown" are no notices.
 CHECKS = {
@@ -300,6 +340,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.withColumn(
         "words", F.transform("cues", lambda p, no: F.struct(no.alias("no"), _row_words(p).alias("w"), F.transform(held(F.split(p, "\n")), _row_words).alias("lines")))
     )
+    siblings = _fixed([{"f": f, **x} for f, x in SIBLINGS.items()], "array<struct<f:string,against:array<string>,unless:array<string>>>")
+    against = lambda g: F.transform(F.filter(siblings, lambda x: F.arrays_overlap(g, x["against"]) & ~F.arrays_overlap(g, x["unless"])), lambda x: x["f"])
+    rows = rows.withColumn("against", F.transform("words", lambda p: against(_row_grams(p["w"]))))
     at_anchor = lambda w, x, i: F.array_contains(known_word, x) | F.array_contains(known_pair, F.concat_ws(" ", x, F.get(w, i + 1)))
     spots = lambda w: F.array_compact(F.transform(w, lambda x, i: F.when(at_anchor(w, x, i), i + 1)))
     cut = lambda w, at, r: F.slice(w, F.greatest(at - r, F.lit(1)), at + r + 1 - F.greatest(at - r, F.lit(1)))
@@ -334,15 +377,31 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                                          F.size(F.filter(p["shares"], lambda x: x >= own(p, b))).alias("fits"))),
     )
     # the family's template must fit, and better than any other family's
-    sure = lambda f: (f["family"] != "unknown") & (f["score"] >= LEAST) & (f["overlap"] >= CONFIRM) & (f["fits"] == 1)
-    rows = rows.withColumn("sure", F.filter("found", sure))
+    best = lambda f: (f["family"] != "unknown") & (f["score"] >= LEAST) & (f["overlap"] >= CONFIRM) & (f["fits"] == 1)
+    # or stand entire, with a family that is likelier than none
+    none = len(m["names"]) - 1
+    likely = lambda s, k: F.round(1 / (1 + F.exp((F.get(s, F.lit(none)) - F.get(s, k)) / (1000 * m["temperature"]))), 4) >= LEAST
+    entire = lambda p, s: F.filter(F.sequence(F.lit(0), F.lit(none - 1)), lambda k: (F.get(p["shares"], k) >= ENTIRE) & (F.element_at(names, k + 1) != WEAK) & likely(s, k))
+    rows = rows.withColumn("entire", F.zip_with("seen", "scores", lambda p, s: F.transform(entire(p, s), lambda k: F.element_at(names, k + 1))))
+    none_of = F.array().cast("array<string>")
+    said = lambda f, e: F.array_union(F.when(best(f), F.array(f["family"])).otherwise(none_of), e)
+    rows = rows.withColumn("said", F.zip_with("found", "entire", lambda f, e: F.struct(f["no"].alias("no"), said(f, e).alias("families"))))
+    denied = lambda p: F.rlike(F.concat_ws(" ", p["w"]), F.lit(DENIED))
+    rows = rows.withColumn(
+        "sure",
+        F.zip_with(
+            "said", "pieces",
+            lambda f, p: F.struct(f["no"].alias("no"), F.when(denied(p), none_of).otherwise(F.array_except(f["families"], F.get(F.col("against"), f["no"]))).alias("families")),
+        ),
+    )
+    rows = rows.withColumn("sure", F.filter("sure", lambda f: F.size(f["families"]) > 0))
     confirmed = F.size(F.array_distinct(F.transform("sure", lambda f: f["no"])))
     return rows.select(
         F.col("id").alias(id_col),
         "n_paragraphs",
         F.size("cues").cast("long").alias("n_cues"),
         F.col("found").alias("findings"),
-        F.array_join(F.array_sort(F.array_distinct(F.transform("sure", lambda f: f["family"]))), ",").alias("families"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.transform("sure", lambda f: f["families"])))), ",").alias("families"),
         confirmed.cast("long").alias("n_confirmed"),
         (F.size("cues") - confirmed).cast("long").alias("n_unknown"),
     )
@@ -356,6 +415,8 @@ def license_sql() -> str:
     bias = ", ".join(f"({k}, {quote(n)}, {b})" for k, (n, b) in enumerate(zip(m["names"], m["bias"], strict=True)))
     shapes = ", ".join(f"({k}, {t}, {quote(x)})" for k, f in enumerate(m["templates"]) for t, g in enumerate(f) for x in g)
     held, pairs = (", ".join(quote(x) for x in anchors() if (" " in x) is pair) for pair in (False, True))
+    listed = lambda xs: "[" + ", ".join(quote(x) for x in xs) + "]"
+    siblings = ", ".join(f"({quote(f)}, {listed(x['against'])}, {listed(x['unless'])})" for f, x in SIBLINGS.items())
     at_anchor = f"list_contains([{held}], w[i]) OR list_contains([{pairs}], w[i] || ' ' || w[i + 1])"
     return rf"""
 WITH weights(g, k, v) AS (VALUES {weights}), classes(k, name, b) AS (VALUES {bias}),
@@ -388,10 +449,20 @@ grams AS (
     SELECT c.rid, c.no, s.k, s.t, count(g.g) / count(*) AS n FROM cues c CROSS JOIN shapes s
     LEFT JOIN grams g ON g.rid = c.rid AND g.no = c.no AND g.g = s.g GROUP BY c.rid, c.no, s.k, s.t) GROUP BY ALL
 ), rival AS (SELECT b.rid, b.no, max(o.o) AS o FROM best b JOIN overlap o ON o.rid = b.rid AND o.no = b.no AND o.k <> b.k GROUP BY ALL
+), siblings(name, against, unless) AS (VALUES {siblings}),
+whole AS (SELECT rid, no AS para, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM ws),
+bad AS (SELECT rid, para, name FROM whole JOIN siblings ON list_has_any(g, against) AND NOT list_has_any(g, unless)),
+said AS (
+  SELECT b.rid, b.no, b.name, b.name <> 'unknown' AND b.p >= {LEAST} AND o.o >= {CONFIRM} AND o.o > r.o AS sure
+  FROM best b LEFT JOIN overlap o ON o.rid = b.rid AND o.no = b.no AND o.k = b.k LEFT JOIN rival r ON r.rid = b.rid AND r.no = b.no
+  UNION ALL
+  SELECT o.rid, o.no, f.name, round(1 / (1 + exp((n.s - f.s) / (1000 * {m["temperature"]}))), 4) >= {LEAST}
+  FROM overlap o JOIN sums f ON f.rid = o.rid AND f.no = o.no AND f.k = o.k JOIN sums n ON n.rid = o.rid AND n.no = o.no AND n.name = 'unknown'
+  WHERE o.o >= {ENTIRE} AND f.name <> '{WEAK}'
 ), found AS (
-  SELECT b.rid, c.para, b.name, b.name <> 'unknown' AND b.p >= {LEAST} AND o.o >= {CONFIRM} AND o.o > r.o AS sure
-  FROM best b JOIN cues c ON c.rid = b.rid AND c.no = b.no LEFT JOIN overlap o ON o.rid = b.rid AND o.no = b.no AND o.k = b.k
-  LEFT JOIN rival r ON r.rid = b.rid AND r.no = b.no
+  SELECT s.rid, c.para, s.name, coalesce(s.sure, false) AND NOT regexp_matches(array_to_string(c.w, ' '), '{DENIED}')
+         AND NOT EXISTS (SELECT 1 FROM bad x WHERE x.rid = s.rid AND x.para = c.para AND x.name = s.name) AS sure
+  FROM said s JOIN cues c ON c.rid = s.rid AND c.no = s.no
 ), per AS (
   SELECT rid, count(DISTINCT para) AS n_cues, array_to_string(list_sort(list(DISTINCT name) FILTER (sure)), ',') AS families,
          count(DISTINCT para) FILTER (coalesce(sure, false)) AS n_confirmed, count(DISTINCT para) - count(DISTINCT para) FILTER (coalesce(sure, false)) AS n_unknown
