@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from veritrail.functions import fixed, folding
 from veritrail.functions import text as T
-from veritrail.operators import cleaning, company, evaluation, ingest, jobs
+from veritrail.operators import cleaning, company, evaluation, ingest, jobs, quality
 from veritrail.sources import files
 from veritrail.sources.schemas import SCHEMAS
 from veritrail.sources.tables import BUCKET, Catalog
@@ -298,6 +298,18 @@ def test_native_plans(spark):
     assert "Python" not in cleaning.candidates(raw)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_entity_ids(spark):
+    """Blank keys each count, repeated ones once a value, nulls together; a row without document is lost."""
+    texts = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "submission_id string")
+    roles = [("1", "a"), ("1", "b"), ("1", "a"), (None, "a"), (None, "z"), (" ", "a"), ("2", None), ("3", "b")]
+    roles = spark.createDataFrame(roles, "experience_id string, submission_id string")
+    found = quality.entity_ids(texts, {"r": (roles, "experience_id"), "t": (texts, "submission_id"), "e": (roles.limit(0), "experience_id")})
+    assert {r["check"]: r["n"] for r in found.collect()} == {
+        "r: blank experience_id": 3, "r: duplicate experience_id": 2, "r: no matching CV": 2, "t: blank submission_id": 1, "t: duplicate submission_id": 1,
+        "t: no matching CV": 1, "e: blank experience_id": 0, "e: duplicate experience_id": 0, "e: no matching CV": 0,
+    }
+
+
 # ---- stream ----------------------------------------------------------------
 
 

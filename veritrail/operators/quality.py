@@ -68,13 +68,23 @@ def raw_texts_usable(texts: DataFrame) -> DataFrame:
     return blank.union(_counted(duplicate_values(texts, "submission_id"), "duplicate submission_id"))
 
 
+def _linked(rows: DataFrame, key: str, texts: DataFrame) -> DataFrame:
+    """(blank, twice, lost) of one table, read once: rows without key, keys that occur more than once, rows of no known document."""
+    known = texts.select(F.col("submission_id").alias("of")).distinct()
+    told = rows.select(F.col(key).alias("key"), "submission_id").join(known, F.col("submission_id") == F.col("of"), "left")
+    per = told.groupBy("key").agg(F.count("*").alias("n"), F.count_if(F.col("of").isNull()).alias("lost"))
+    blank = F.col("key").isNull() | (trimmed(F.col("key").cast("string")) == "")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("long"))
+    return per.agg(total(F.when(blank, F.col("n"))).alias("blank"), F.count_if(F.col("n") > 1).alias("twice"), total("lost").alias("lost"))
+
+
 def entity_ids(texts: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """(check, n) for tables by name, each with its key: blank and repeated keys, rows of no known document."""
     out = None
     for name, (rows, key) in tables.items():
-        blank = blank_counts(rows, [key]).select(F.concat(F.lit(f"{name}: blank "), "column").alias("check"), "n")
-        found = blank.union(_counted(duplicate_values(rows, key), f"{name}: duplicate {key}"))
-        found = found.union(_counted(orphans(rows, texts, "submission_id"), f"{name}: no matching CV"))
+        names = {"blank": f"{name}: blank {key}", "twice": f"{name}: duplicate {key}", "lost": f"{name}: no matching CV"}
+        pairs = F.array(*[F.struct(F.lit(told).alias("check"), F.col(c).alias("n")) for c, told in names.items()])
+        found = _linked(rows, key, texts).select(F.explode(pairs).alias("p")).select("p.check", "p.n")
         out = found if out is None else out.union(found)
     return out
 
