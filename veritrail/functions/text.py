@@ -10,9 +10,13 @@ from .keywords import longest_anywhere
 _SPACE = r"[\s\x1c-\x1f]"
 
 
+#: All white space of Unicode, the separators U+001C to U+001F among it.
+_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+
+
 def trimmed(c) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def squeezed(c) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,79 +28,99 @@ def actions(now: DataFrame, prior: DataFrame) -> DataFrame:
 
 
 # ---- replies as variants: what a field is, what is wrong with it, what it gives ---------------------
+#
+# Each field is looked up once, as a struct of its kind (null if it is missing, VOID if it is null)
+# and its value; errors and results are read off these.
 
 
-def _kind(record, field: str) -> Column:
-    """The type of a field as Spark names it: null if it is missing, VOID if it is null."""
-    return F.schema_of_variant(F.try_variant_get(record, f"$.{field}", "variant"))
+def _text(record, field: str) -> Column:
+    held = F.try_variant_get(record, f"$.{field}", "variant")
+    return F.struct(F.schema_of_variant(held).alias("kind"), trimmed(F.try_variant_get(record, f"$.{field}", "string")).alias("value")).alias(field)
 
 
-def _text(record, field: str, most: int, taboo=None) -> tuple[Column, Column]:
-    """(error or null, value) of a text: trimmed, of at most ``most`` code points; with ``taboo`` it must be there and mean something."""
-    kind, value = _kind(record, field), trimmed(F.try_variant_get(record, f"$.{field}", "string"))
-    odd = F.char_length(value) > most
+def _text_error(x: Column, field: str, most: int, taboo=None) -> Column:
+    """What is wrong with a text of at most ``most`` code points, or null; with ``taboo`` it must be there and mean something."""
+    odd = F.char_length(x["value"]) > most
     if taboo is not None:
-        odd = odd | (value == "") | F.lower(value).isin(*taboo)
+        odd = odd | (x["value"] == "") | F.lower(x["value"]).isin(*taboo)
     gone = F.lit(f"{field} is missing") if taboo is not None else F.lit(None).cast("string")
-    error = (
-        F.when(kind.isNull(), gone).when(kind != "STRING", F.lit(f"{field} is no text")).when(odd, F.lit(f"{field} has a length or value that is not allowed"))
-    )
-    return error, F.when(kind.isNull(), F.lit(DEFAULTS.get(field, ""))).otherwise(value)
+    wrong = F.when(x["kind"] != "STRING", F.lit(f"{field} is no text")).when(odd, F.lit(f"{field} has a length or value that is not allowed"))
+    return F.when(x["kind"].isNull(), gone).otherwise(wrong)
+
 
+def _text_value(x: Column, field: str) -> Column:
+    return F.when(x["kind"].isNull(), F.lit(DEFAULTS.get(field, ""))).otherwise(x["value"]).alias(field)
 
-def _flag(record, field: str) -> tuple[Column, Column]:
-    """(error or null, value) of a truth value: also 1 and 0, and words for them; false if it is missing."""
-    kind = _kind(record, field)
+
+def _flag(record, field: str) -> Column:
+    """A truth value: also 1 and 0, and words for them; false if it is missing, null if it is none."""
+    held = F.try_variant_get(record, f"$.{field}", "variant")
     word = F.lower(trimmed(F.try_variant_get(record, f"$.{field}", "string")))
     number = F.try_variant_get(record, f"$.{field}", "double")
-    value = (
-        F.when(kind.isNull(), False)
+    kind = F.schema_of_variant(held)
+    return (
+        F.when(held.isNull(), False)
         .when(kind == "BOOLEAN", F.try_variant_get(record, f"$.{field}", "boolean"))
         .when(kind == "STRING", F.when(word.isin(*TRUE), True).when(word.isin(*FALSE), False))
         .otherwise(F.when(number == 1, True).when(number == 0, False))
+        .alias(field)
     )
-    return F.when(value.isNull(), F.lit(f"{field} is no truth value")), value
 
 
-def _items(record, field: str) -> tuple[Column, Column]:
-    """(error or null, array of variants) of a list, empty if it is missing."""
-    kind = _kind(record, field)
+def _items(record, field: str) -> Column:
+    """A list as its kind and an array of variants, empty if it is missing."""
+    kind = F.schema_of_variant(F.try_variant_get(record, f"$.{field}", "variant"))
     none = F.array().cast("array<variant>")
     found = F.when(kind.startswith("ARRAY"), F.try_variant_get(record, f"$.{field}", "array<variant>")).otherwise(none)
-    return F.when(kind.isNotNull() & ~kind.startswith("ARRAY"), F.lit(f"{field} is no list")), found
+    return F.struct(kind.alias("kind"), found.alias("items")).alias(field)
+
 
+def _list_error(x: Column, field: str) -> Column:
+    return F.when(x["kind"].isNotNull() & ~x["kind"].startswith("ARRAY"), F.lit(f"{field} is no list"))
 
-def _role(record) -> Column:
-    fields = {c: _text(record, c, n, fixed.ROLE_PLACEHOLDERS if c in ("job_title", "company_name") else None) for c, n in ROLE_LENGTHS.items()}
-    fields["is_current"] = _flag(record, "is_current")
-    whole = F.when(~F.schema_of_variant(record).startswith("OBJECT"), F.lit("a role is no object"))
-    return F.struct(F.coalesce(whole, *[e for e, _ in fields.values()]).alias("error"), F.struct(*[v.alias(c) for c, (_, v) in fields.items()]).alias("role"))
+
+_NAME = {"candidate_name": fixed.NAME_PLACEHOLDERS}
+_ROLE = {"job_title": fixed.ROLE_PLACEHOLDERS, "company_name": fixed.ROLE_PLACEHOLDERS}
 
 
 def parsed(replies: DataFrame) -> DataFrame:
     """(submission_id, cv, is_valid, error): replies read as JSON once; one bad field or role rejects the whole.
 
     Types are told apart by the kinds of variants, so a number is no text and null is not missing.
-    A reply of more than 16 MB, or one that names a field twice, counts as no JSON.
+    A reply of more than 16 MB, or one that names a field twice, counts as no JSON. The metrics
+    ``replies-...`` count rows and rejected ones; no filter moves below them, so a reply is judged once.
     """
     record = F.col("record")
     rows = replies.select("submission_id", F.try_parse_json(bare_json(F.col("reply"))).alias("record"))
-    fields = {c: _text(record, c, n, fixed.NAME_PLACEHOLDERS if c == "candidate_name" else None) for c, n in LENGTHS.items()}
-    roles_error, role_items = _items(record, "work_experience")
-    skills_error, skill_items = _items(record, "skills")
-    many = F.when((F.size(skill_items) > MOST_SKILLS) | F.exists(skill_items, lambda x: F.schema_of_variant(x) != "STRING"), F.lit("skills are too many or no texts"))
-    rows = rows.withColumn("roles", F.transform(role_items, _role))
-    bad_role = F.try_element_at(F.filter(F.transform("roles", lambda r: r["error"]), lambda e: e.isNotNull()), F.lit(1))
-    whole = F.when(record.isNull(), F.lit("no JSON")).when(~F.schema_of_variant(record).startswith("OBJECT"), F.lit("no object"))
-    error = F.coalesce(whole, *[e for e, _ in fields.values()], roles_error, bad_role, skills_error, many)
+    rows = rows.select(
+        "submission_id", F.schema_of_variant(record).alias("whole"), *[_text(record, c) for c in LENGTHS], _items(record, "work_experience"), _items(record, "skills")
+    )
+    read = lambda r: F.struct(F.schema_of_variant(r).alias("whole"), *[_text(r, c) for c in ROLE_LENGTHS], _flag(r, "is_current"))
+    item = lambda x: F.struct(F.schema_of_variant(x).alias("kind"), F.try_variant_get(x, "$", "string").alias("value"))
+    rows = rows.withColumns({"roles": F.transform("work_experience.items", read), "said": F.transform("skills.items", item)})
+    role_error = lambda r: F.coalesce(
+        F.when(~r["whole"].startswith("OBJECT"), F.lit("a role is no object")),
+        *[_text_error(r[c], c, n, _ROLE.get(c)) for c, n in ROLE_LENGTHS.items()],
+        F.when(r["is_current"].isNull(), F.lit("is_current is no truth value")),
+    )
+    odd_skills = (F.size("said") > MOST_SKILLS) | F.exists("said", lambda x: x["kind"] != "STRING")
+    error = F.coalesce(
+        F.when(F.col("whole").isNull(), F.lit("no JSON")).when(~F.col("whole").startswith("OBJECT"), F.lit("no object")),
+        *[_text_error(F.col(c), c, n, _NAME.get(c)) for c, n in LENGTHS.items()],
+        _list_error(F.col("work_experience"), "work_experience"),
+        F.array_min(F.array_compact(F.transform("roles", role_error))),
+        _list_error(F.col("skills"), "skills"),
+        F.when(odd_skills, F.lit("skills are too many or no texts")),
+    )
     cv = F.struct(
-        *[v.alias(c) for c, (_, v) in fields.items()],
-        F.transform("roles", lambda r: r["role"]).alias("work_experience"),
-        F.transform(skill_items, lambda x: F.try_variant_get(x, "$", "string")).alias("skills"),
+        *[_text_value(F.col(c), c) for c in LENGTHS],
+        F.transform("roles", lambda r: F.struct(*[_text_value(r[c], c) for c in ROLE_LENGTHS], r["is_current"].alias("is_current"))).alias("work_experience"),
+        F.col("said.value").alias("skills"),
     )
-    told = rows.withColumn("error", error)
+    told = rows.select("submission_id", cv.alias("cv"), error.alias("error"))
+    told = told.observe(f"replies-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("n"), F.count("error").alias("rejected"))
     valid = F.col("error").isNull()
-    return told.select("submission_id", F.when(valid, cv).alias("cv"), valid.alias("is_valid"), "error")
+    return told.select("submission_id", F.when(valid, F.col("cv")).alias("cv"), valid.alias("is_valid"), "error")
 
 
 def candidate_rows(cvs: DataFrame) -> DataFrame:
