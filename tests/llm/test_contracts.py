@@ -127,3 +127,17 @@ def test_empty_tables(spark):
     assert lines.line_counts(docs).count() == 0 == html_text.extracted(spark.createDataFrame([], "page_id long, url string, html string")).count()
     vectors = spark.createDataFrame([], "vec_id long, embedding array<double>")
     assert topk.top_k(vectors, vectors).count() == 0 == mixing.mixed(docs).count()
+
+
+def test_topk_of_scores_near_the_limit(spark):
+    """Scores beyond 2**61 are told apart, at the limit of 64 bits they are equal and go by id."""
+    import math
+
+    big = [2.0**21, 2.0**21 + 1, 2.0**21 - 5, -(2.0**21), 3.0, 2.0**24, 2.0**24 + 8, -(2.0**24), 1e30, 2.0**30]
+    df = spark.createDataFrame([(k, [x, 1.0]) for k, x in enumerate(big)], "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df.where("vec_id in (0, 3, 4, 5, 8)"), k=6).collect()
+    whole = [[math.floor(1024 * x), 1024] for x in big]
+    for q in (0, 3, 4, 5, 8):
+        score = lambda j: max(-topk.MOST, min(topk.MOST, sum(a * b for a, b in zip(whole[q], whole[j], strict=True))))  # noqa: B023, E731
+        want = sorted((-score(j), j) for j in range(len(big)) if j != q)[:6]
+        assert [(-r["score"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == want

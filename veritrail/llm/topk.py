@@ -22,8 +22,10 @@ BLOCK = 2048
 BINS = 128
 
 
-#: Scores lie within this many of 0; what is beyond counts as that much.
-MOST = 2**61
+#: Scores are 64-bit integers; what is beyond counts as the last of them.
+MOST = 2**63 - 1
+#: Bins of scores that lie within this many of 0 are told by 64-bit arithmetic, others by Python's integers.
+NARROW = 2**61
 #: Rows of components below this are multiplied as floats or 64-bit integers; others as Python's integers.
 PLAIN = 2**25
 
@@ -63,20 +65,25 @@ def _lengths(vectors) -> np.ndarray:
     return np.sqrt((vectors**2).sum(axis=1))
 
 
-def _scores(block, vectors):
-    """Integer inner products, exact within MOST: floats while sums stay below 2**53, else integers of any length.
+def _tops(x) -> np.ndarray:
+    """Each row's largest component as a float, of long integers at most 1e300."""
+    if x.dtype == object:
+        return np.array([float(min(max(map(abs, row), default=0), 10**300)) for row in x.tolist()], dtype=float)
+    return np.abs(x).max(axis=1, initial=0)
 
-    A row with long integers takes only its own products with it.
-    """
-    out = np.empty((len(block), len(vectors)), dtype=np.int64)
-    large = [np.array([max(map(abs, row), default=0) >= PLAIN for row in x.tolist()], dtype=bool) if x.dtype == object else np.zeros(len(x), dtype=bool) for x in (block, vectors)]
-    plain = [np.flatnonzero(~x) for x in large]
-    a, b = (x[rows].astype(np.float64) for x, rows in zip((block, vectors), plain, strict=True))
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(block.shape[1], 1)
-    out[np.ix_(*plain)] = a @ b.T if most < 2**53 else a.astype(np.int64) @ b.astype(np.int64).T
-    if large[0].any() or large[1].any():
+
+def _scores(block, vectors):
+    """Integer inner products, exact within MOST: floats while sums stay below 2**53, 64-bit integers below 2**62, then Python's."""
+    tops, dims = [_tops(x) for x in (block, vectors)], max(block.shape[1], 1)
+    if max(tops[0], default=0) * max(tops[1], default=0) * dims < 2**53:
+        return (block.astype(np.float64) @ vectors.astype(np.float64).T).astype(np.int64)
+    a, b = (np.where((t < 2.0**62)[:, None], x, 0).astype(np.int64) for x, t in zip((block, vectors), tops, strict=True))
+    out = a @ b.T
+    with np.errstate(over="ignore"):
+        far = tops[0][:, None] * tops[1][None, :] * dims >= 2.0**62
+    if far.any():
         long = [[[int(v) for v in row] for row in x.tolist()] for x in (block, vectors)]
-        for k, j in zip(*np.nonzero(large[0][:, None] | large[1][None, :]), strict=True):
+        for k, j in zip(*np.nonzero(far), strict=True):
             out[k, j] = max(-MOST, min(MOST, sum(u * v for u, v in zip(long[0][k], long[1][j], strict=True))))
     return out
 
@@ -101,7 +108,7 @@ def _histogram(shared):
         low, width, n = state["low"], state["width"], len(state["marks"])
         total = np.zeros((n, BINS + 1), dtype=np.int64)
         for _, scores, own in _batches(batches, state):
-            at = np.clip((scores - low[:, None]) // width[:, None], -1, BINS)
+            at = np.clip((scores.astype(low.dtype) - low[:, None]) // width[:, None], -1, BINS).astype(np.int64)
             at[own] = -1
             q, c = np.nonzero(at >= 0)
             total += np.bincount(q * (BINS + 1) + at[q, c], minlength=n * (BINS + 1)).reshape(n, BINS + 1)
@@ -121,7 +128,7 @@ def _above(shared, k):
         n, low = len(state["marks"]), state["low"]
         keep = {}
         for ids, scores, own in _batches(batches, state):
-            at = (scores >= low[:, None]) & ~own
+            at = (scores >= low[:, None]).astype(bool) & ~own
             for q in np.flatnonzero(at.any(axis=1)):
                 c = np.flatnonzero(at[q])
                 v, s = ids[c], scores[q, c]
@@ -144,12 +151,14 @@ def _block_answers(rows: DataFrame, no, marks, vectors, k: int) -> DataFrame:
     """(no, vec_id, score) with the k best of every query, named by its number."""
     spark = rows.sparkSession
     reach = rows.mapInArrow(_norms(vectors.shape[1]), "norm double").agg(F.max("norm")).first()[0] or 0.0
-    bound = np.minimum(np.ceil(_lengths(vectors) * reach), float(MOST)).astype(np.int64) + 1
+    # a float's last digits may be lost, so one in a million more
+    wide = [min(int(x * 1.000001) + 2, 2**63) for x in _lengths(vectors) * reach]
+    bound = np.array(wide, dtype=np.int64 if max(wide, default=0) < NARROW else object)
     low, high = -bound, bound + 1
     done = np.zeros(len(no), dtype=bool)
     while not done.all():
         width = np.maximum(1, high // BINS - low // BINS + 1)
-        state = {"marks": marks, "vectors": vectors, "low": np.where(done, np.iinfo(np.int64).max // 4, low), "width": width}
+        state = {"marks": marks, "vectors": vectors, "low": np.where(done, 2**62 if low.dtype != object else 2**70, low), "width": width}
         shared = spark.sparkContext.broadcast(state)
         kind = "q int, bin int, n long"
         counts = rows.mapInArrow(_histogram(shared), kind).groupBy("q", "bin").agg(F.sum("n").alias("n"))
@@ -204,7 +213,7 @@ def top_k(
 
     Vectors are floor(1024 x). Null vectors and such with a null or non-finite component take no
     part; a shorter vector is filled up with zeros, components beyond the longest query are left
-    out. Rows with a null id take no part. Scores beyond 2**61 count as that much. ``row_col``
+    out. Rows with a null id take no part. Scores beyond 64 bits count as the last number of them. ``row_col``
     names a column that tells the rows of both tables apart: then only the query's own row is no
     candidate, and of rows that share an id each is asked and found for itself. Without it no row
     of the query's id is a candidate. Equal rows of one id give equal answers, each its own.
