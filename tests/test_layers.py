@@ -125,18 +125,20 @@ def test_ground_truth_is_added_to(spark, tmp_path):
 
 
 def test_pending_documents(spark, tmp_path):
-    for name in ("1_ann.pdf", "sub/2_bob.pdf", "note.txt", "4.pdf"):
+    for name in ("cv_001_data_engineer_mid.pdf", "sub/cv_002_ml_engineer_senior.pdf", "note.txt", "4.pdf"):
         os.makedirs(os.path.dirname(tmp_path / "in" / name), exist_ok=True)
         (tmp_path / "in" / name).write_text("x")
     there = files.listed(spark, f"file://{tmp_path}/in")
-    assert sorted(r["submission_id"] for r in there.collect()) == ["1_ann", "2_bob", "4"]
+    assert sorted(r["submission_id"] for r in there.collect()) == ["4", "cv_001_data_engineer_mid", "cv_002_ml_engineer_senior"]
     assert "content" not in there._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
-    specs = spark.createDataFrame([("1", "9_renamed.pdf"), ("2", "2_bob.pdf"), ("3", "3_eve.pdf")], "id string, filename string")
-    recorded = spark.createDataFrame([("1",), ("4",), ("5",)], "id string")
-    assert [r["id"] for r in files.pending(specs, recorded, there).collect()] == ["3"]
-    assert [r["id"] for r in files.without_file(recorded, there).collect()] == ["5"]
+    specs = [("001", "Staff Engineer", "Staff"), ("002", "ML Engineer", "Senior"), ("003", "Data Engineer", "Mid")]
+    specs = spark.createDataFrame(specs, "id string, role string, seniority string")
+    specs = specs.withColumn("filename", files.cv_filename(*[F.col(c) for c in specs.columns]))
+    recorded = spark.createDataFrame([("001", "cv_001_data_engineer_mid.pdf"), ("9", "cv_9_gone.pdf")], "id string, filename string")
+    assert [r["filename"] for r in files.pending(specs, recorded, there).collect()] == ["cv_003_data_engineer_mid.pdf"]
+    assert [r["id"] for r in files.without_file(recorded, there).collect()] == ["9"]
     none = files.listed(spark, f"file://{tmp_path}/none")
-    assert none.count() == 0 and files.pending(specs, recorded, none).count() == 2
+    assert none.count() == 0 and files.pending(specs, recorded, none).count() == 2 == files.without_file(recorded, none).count()
 
 
 # ---- cleaning --------------------------------------------------------------

@@ -659,7 +659,8 @@ sc AS (SELECT DISTINCT id, flaw FROM fn JOIN shows USING (name) WHERE id IN (SEL
 def _truth(spark, sf_dir):
     """The planted flaws, through the ground truth's own file."""
     path = f"{scratch_root(spark)}/ground_truth"
-    files.record(view(spark, sf_dir, "recorded").select("id", F.split("flaws", r"\|").alias("inconsistency_types")), path)
+    rows = view(spark, sf_dir, "recorded").select("id", F.split("flaws", r"\|").alias("inconsistency_types"))
+    files.record(rows.withColumn("filename", F.concat("id", F.lit(".pdf"))), path)
     return files.ground_truth(spark, path)
 
 
@@ -684,8 +685,7 @@ FROM b GROUP BY flaw""",
     "recorded",
 )
 def flaw_scores(spark, sf_dir):
-    truth = _truth(spark, sf_dir).withColumnRenamed("id", "submission_id")
-    return evaluation.scores(truth, _found(spark, sf_dir), _SHOWN_BY)
+    return evaluation.scores(_truth(spark, sf_dir), _found(spark, sf_dir), _SHOWN_BY)
 
 
 @_query(
@@ -695,8 +695,7 @@ FROM recorded r LEFT JOIN tr ON tr.id = r.id LEFT JOIN fn ON fn.id = r.id GROUP
     "recorded",
 )
 def flaw_confusion(spark, sf_dir):
-    truth = _truth(spark, sf_dir).withColumnRenamed("id", "submission_id")
-    return evaluation.confusion(truth, _found(spark, sf_dir))
+    return evaluation.confusion(_truth(spark, sf_dir), _found(spark, sf_dir))
 
 
 _MATCHED = f"""WITH nm AS (SELECT DISTINCT q, list_distinct(string_split(q, ' ')) AS a FROM (SELECT {_COMPANY.format("company_name")} AS q FROM raw_jobs) WHERE q <> ''),

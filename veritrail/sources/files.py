@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,10 +43,14 @@ def pending(specs: DataFrame, recorded: DataFrame, files: DataFrame) -> DataFram
 
 
 def without_file(recorded: DataFrame, files: DataFrame) -> DataFrame:
-    """``recorded`` (id and others) whose file is missing: no file's name begins with the id and an underscore, or is the id."""
-    names = files.select("submission_id", F.substring_index("submission_id", "_", 1).alias("begin"))
-    ids = names.select(F.explode(F.array("submission_id", "begin")).alias("id")).distinct()
-    return recorded.join(ids, "id", "left_anti")
+    """``recorded`` (filename and others) whose file is missing."""
+    there = files.select(F.element_at(F.split("cv_file_path", "/"), -1).alias("filename")).distinct()
+    return recorded.join(there, "filename", "left_anti").select(*recorded.columns)
+
+
+def cv_filename(number, role, seniority) -> Column:
+    """The file name of a document to make, such as cv_001_data_engineer_senior.pdf."""
+    return F.concat(F.lit("cv_"), number, F.lit("_"), F.replace(F.lower(role), F.lit(" "), F.lit("_")), F.lit("_"), F.lower(seniority), F.lit(".pdf"))
 
 
 def extracted(files: DataFrame, extract: Callable[[bytes], str]) -> DataFrame:
@@ -146,14 +150,17 @@ GROUND_TRUTH = "id string, folder string, role string, seniority string, years s
 
 
 def ground_truth(spark: SparkSession, path: str) -> DataFrame:
-    """The recorded documents with their planted flaws as a list; a missing file has none. A folder of such files is one."""
+    """The recorded documents with their planted flaws as a list and the submission_id of their file.
+
+    A missing file has no documents; a folder of such files is one.
+    """
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         rows = spark.createDataFrame([], GROUND_TRUTH)
     else:
         rows = _headed(spark, path, [c.split(" ")[0] for c in GROUND_TRUTH.split(", ")])
     kinds = F.filter(F.split(F.coalesce("inconsistency_types", F.lit("")), r"\|"), lambda x: x != "")
-    return rows.withColumn("inconsistency_types", kinds)
+    return rows.withColumns({"inconsistency_types": kinds, "submission_id": id_of_path(F.col("filename"))})
 
 
 def recorded_ids(spark: SparkSession, path: str) -> DataFrame:
