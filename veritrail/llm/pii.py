@@ -163,7 +163,8 @@ def _found(batches):
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id and spans (kind, start, end in code points, end exclusive).
 
-    Null and empty texts have no spans. Spans of different kinds may overlap.
+    Null and empty texts have no spans. Spans of different kinds may overlap. Repeated rows give
+    repeated results; other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
