@@ -342,7 +342,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     siblings = _fixed([{"f": f, **x} for f, x in SIBLINGS.items()], "array<struct<f:string,against:array<string>,unless:array<string>>>")
     against = lambda g: F.transform(F.filter(siblings, lambda x: F.arrays_overlap(g, x["against"]) & ~F.arrays_overlap(g, x["unless"])), lambda x: x["f"])
-    rows = rows.withColumn("against", F.transform("words", lambda p: against(_row_grams(p["w"]))))
+    # the grams are bound before they are compared, else each comparison would cut them anew
+    rows = rows.withColumn("against", F.transform(F.transform("words", lambda p: _row_grams(p["w"])), against))
     at_anchor = lambda w, x, i: F.array_contains(known_word, x) | F.array_contains(known_pair, F.concat_ws(" ", x, F.get(w, i + 1)))
     spots = lambda w: F.array_compact(F.transform(w, lambda x, i: F.when(at_anchor(w, x, i), i + 1)))
     cut = lambda w, at, r: F.slice(w, F.greatest(at - r, F.lit(1)), at + r + 1 - F.greatest(at - r, F.lit(1)))
