@@ -141,28 +141,3 @@ def test_topk_of_scores_near_the_limit(spark):
         score = lambda j: max(-topk.MOST, min(topk.MOST, sum(a * b for a, b in zip(whole[q], whole[j], strict=True))))  # noqa: B023, E731
         want = sorted((-score(j), j) for j in range(len(big)) if j != q)[:6]
         assert [(-r["score"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == want
-
-
-def test_insults_of_two_harmless_words():
-    """Both words stand in every clean document; only side by side in one sentence they are toxic."""
-    import numpy as np
-    import pyarrow as pa
-
-    from veritrail.llm import toxicity
-    from veritrail.llm.common import packed
-
-    rng = random.Random(3)
-    words = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4))) for _ in range(300)]
-
-    def document(*extra):
-        sentences = [[rng.choice(words) for _ in range(rng.randint(6, 12))] for _ in range(6)]
-        for k, part in zip(rng.sample(range(6), len(extra)), extra, strict=True):
-            at = rng.randrange(1, len(sentences[k]) - 1)
-            sentences[k][at:at] = part.split()
-        return " ".join(" ".join(x).capitalize() + "." for x in sentences)
-
-    toxic, clean = (lambda n: [document("wooden bucket") for _ in range(n)]), (lambda n: [document("wooden", "bucket") for _ in range(n)])
-    model = toxicity.train(toxic(80) + clean(240), [1] * 80 + [0] * 240)
-    data, offsets = packed(pa.array(toxic(30) + clean(60), pa.large_string()))
-    caught = toxicity.scores(data, offsets, 0, 90, model) >= 0.7
-    assert np.sum(caught[:30]) >= 27 and np.sum(caught[30:]) <= 3

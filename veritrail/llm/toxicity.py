@@ -1,19 +1,18 @@
 """Toxicity by a support vector machine on a gapped-subsequence string kernel.
 
-The kernel of two pieces of a sentence (words with the blanks around them, letters spaced out, two
-neighbours) counts common subsequences of three to five characters, each discounted by how far its
-characters are spread, so an insult with characters put in or a changed ending stays close to the
-plain one.
-
-The labels are those of whole documents, so the machine learns as from bags: of each toxic document
-the pieces speak that tell toxic documents from clean ones best, of clean documents all do.
-Neighbours stand in one sentence, and speak where neither of them tells anything by itself. First a
-likelihood ratio over short character runs finds them, then the machine itself, round by round,
-against the clean pieces that it finds hardest. Words of clean documents may be part of insults and
-the other way round; either only weighs as often as it is seen. Toxic documents without any telling
-piece (wrong labels) are left out. The machine lives in the Nystroem space of landmark pieces; its
-dual weights collapse into one weight per subsequence, so a corpus is scored by table lookups over
-packed characters. A document scores as its worst piece of text, through a calibrated sigmoid.
+The kernel of two pieces of text (words with the blanks around them, or letters spaced out) counts
+common subsequences of three to five characters, each discounted by how far its characters are
+spread, so an insult with characters put in or a changed ending stays close to the plain one.
+
+The labels are those of whole documents, so the machine learns as from bags, not of sentences but of
+their pieces: of each toxic document those speak that tell toxic documents from clean ones best, of
+clean documents all do. First a likelihood ratio over short character runs finds them, then the machine
+itself, round by round, against the clean pieces that it finds hardest. Words of clean documents
+may be part of insults and the other way round; either only weighs as often as it is seen. Toxic
+documents without any telling piece (wrong labels) are left out. The machine lives in the Nystroem
+space of landmark pieces; its dual weights collapse into one weight per subsequence, so a corpus is
+scored by table lookups over packed characters. A document scores as its worst piece of text,
+through a calibrated sigmoid.
 """
 
 from __future__ import annotations
@@ -34,8 +33,8 @@ TRAIN_TOXIC, TRAIN_CLEAN = 1500, 3000
 LANDMARKS = 640
 #: Discount of each character that a subsequence skips.
 DECAY = 0.7
-#: Pieces: words, windows of a longer word, and neighbours in a sentence of up to so many characters together.
-PIECE, STRIDE, PAIR = 18, 6, 22
+#: Pieces: words, or windows of a longer word.
+PIECE, STRIDE = 18, 6
 TABLE_BITS = 20
 #: Rounds of training; clean pieces that a round adds at most for each 100 clean documents.
 ROUNDS, FRESH = 7, 100
@@ -61,7 +60,7 @@ def _fold(points: np.ndarray) -> np.ndarray:
 
 def _length_norms() -> np.ndarray:
     """The kernel's scale by piece length, the blanks around it counted: the root of all squared weights that fit."""
-    n = np.arange(PAIR + 3)
+    n = np.arange(PIECE + 3)
     return np.sqrt(sum(w * w * np.maximum(n - sum(s), 0) for s, w in _STEPS) + 1e-9)
 
 
@@ -85,7 +84,7 @@ def _entries(words: list[str]):
     ends = np.cumsum(sizes)
     word = np.repeat(np.arange(len(words)), sizes)
     left = np.repeat(ends, sizes) - np.arange(len(codes))
-    scale = 1 / _NORMS[np.minimum(sizes, PAIR + 2)]
+    scale = 1 / _NORMS[np.minimum(sizes, PIECE + 2)]
     parts = []
     for steps, w in _STEPS:
         fits = np.flatnonzero(left > sum(steps))
@@ -118,10 +117,6 @@ def pieces(points: np.ndarray, heads: np.ndarray):
     first = np.flatnonzero(~joined)
     last = np.append(first[1:], len(start)) - 1
     start, end, row = start[first], end[last], row[first]
-    # neighbours with one blank between them are in one sentence, as marks would stand there
-    near = np.flatnonzero((row[1:] == row[:-1]) & (start[1:] - end[:-1] == 1) & (end[1:] - start[:-1] <= PAIR))
-    near = near[points[end[near]] == 32]
-    pairs = start[near], end[near + 1], row[near]
     long = (end - start) > PIECE
     if long.any():
         extra = -(-(end - start - PIECE) // STRIDE) * long
@@ -130,7 +125,7 @@ def pieces(points: np.ndarray, heads: np.ndarray):
         s = start[rep] + k * STRIDE
         e = np.minimum(end[rep], s + PIECE)
         start, end, row = s, e, row[rep]
-    return tuple(np.concatenate(x) for x in zip((start, end, row), pairs, strict=True))
+    return start, end, row
 
 
 def piece_scores(points, spans, table):
@@ -151,7 +146,7 @@ def piece_scores(points, spans, table):
         np.cumsum(table[_slots(codes, steps)], dtype=np.float64, out=part[1 : n - span + 1])
         part[n - span + 1 :] = part[n - span]
         total += w * (part[np.maximum(end + 1 - span, start - 1)] - part[start - 1])
-    return total / _NORMS[np.minimum(end - start, PAIR) + 2]
+    return total / _NORMS[np.minimum(end - start, PIECE) + 2]
 
 
 def _points(data, offsets, lo, hi):
@@ -195,11 +190,6 @@ def hash_text(x: str) -> int:
     return zlib.crc32(x.encode())
 
 
-def _is_pair(piece: str) -> bool:
-    """Whether a piece is two neighbours, not one word nor letters spaced out."""
-    return any(len(w) > 1 for w in piece.split(" ")) and " " in piece
-
-
 class _Landmarks:
     """The landmarks' feature columns over the slots that any of them uses."""
 
@@ -366,30 +356,27 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> dict:
         # what explains the document about as well as its most telling piece, and a second document says too, if there is any
         open_to = {p: x for p, x in zip(bag, best.tolist(), strict=True) if p in strong and not telling.is_clean(p)}
         open_to = [p for p, x in open_to.items() if x >= 0.3 * max(open_to.values())]
-        # neighbours speak where neither word tells anything by itself
-        alone = {p for p in strong if not _is_pair(p)}
-        open_to = [p for p in open_to if not _is_pair(p) or alone.isdisjoint(p.split(" "))]
         positive.update([p for p in open_to if telling.said[1][p] > 1] or open_to)
         told[text] = bool(open_to)
     if not positive:
         return flat
     order = lambda counts: sorted(counts, key=lambda t: (-counts[t], t))
-    frequent, neighbours = ([p for p in order(telling.said[0]) if _is_pair(p) is pair] for pair in (False, True))
+    frequent = order(telling.said[0])
     pick = lambda some, n: [some[i] for i in sorted(rng.choice(len(some), min(len(some), n), replace=False).tolist())]
-    easy = list(dict.fromkeys(frequent[:2000] + pick(frequent, 5000) + pick(neighbours, 1500)))
-    # neither marks between letters, nor letters that stand alone or repeat, are insults
+    easy = list(dict.fromkeys(frequent[:2000] + pick(frequent, 5000)))
+    # neither marks between letters nor letters that stand alone are insults
     easy += _noisy(pick([p for p in frequent[:2000] if 2 <= len(p) <= 8], 150), rng)
     letters = order(Counter("".join(frequent[:2000])))
     spaced = [x for c in letters for x in (" ".join(c * 9), " ".join(c * 9) + " ", " ".join(c * 4))]
-    hard.update(dict.fromkeys(spaced + [c * 6 for c in letters], 20))
+    hard.update(dict.fromkeys(spaced, 20))
     # clean pieces that hold a telling run
     every = list(telling.said[0])
     for lo in range(0, len(every), 20000):
-        points, spans, bag = next(_bags(["\n".join(every[lo : lo + 20000])]))
+        points, spans, bag = next(_bags([" ".join(every[lo : lo + 20000])]))
         strong = np.flatnonzero(telling.best(points, spans) >= telling.least).tolist()
         hard.update({bag[k]: telling.said[0][bag[k]] for k in strong if telling.is_clean(bag[k])})
     disguised = _noisy(pick(order(positive), 200), rng)
-    marks = order(positive)[: LANDMARKS // 3] + pick(disguised, LANDMARKS // 8) + [p for p in order(hard) if not _is_pair(p)][: LANDMARKS // 4] + spaced[:48]
+    marks = order(positive)[: LANDMARKS // 3] + pick(disguised, LANDMARKS // 8) + order(hard)[: LANDMARKS // 4] + spaced[:48]
     marks = list(dict.fromkeys(marks))
     space = _Landmarks(marks + pick([p for p in easy if p not in set(marks)], LANDMARKS - len(marks)))
     data, offsets = packed(pa.array(texts, pa.large_string()))
@@ -422,9 +409,7 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> dict:
                     near[p] += 1
                 elif told.get(texts[row[k]]) and p not in positive and not telling.is_clean(p):
                     positive[p] = 1
-        fresh = [p for p in order(near) if p not in hard and p not in positive]
-        # neighbours of a word that comes near come near with it: words go first
-        fresh = [p for p in fresh if not _is_pair(p)][:n_fresh] + [p for p in fresh if _is_pair(p)][: n_fresh // 2]
+        fresh = [p for p in order(near) if p not in hard and p not in positive][:n_fresh]
         hard.update({p: telling.said[0][p] for p in fresh})
         if not fresh:
             break
