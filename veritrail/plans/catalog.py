@@ -177,9 +177,14 @@ st AS (SELECT m.*, reg.results IS NOT NULL AS searched, CASE WHEN len(results) =
        FROM m LEFT JOIN reg USING (q))"""
 
 
-def _register(spark, sf_dir):
+def _spelled(spark, sf_dir):
+    """The employers' spellings, counted in one pass over the roles and kept: a plan that reads them twice would count twice."""
+    return Catalog(spark, scratch_root(spark), {}).kept(company.spellings(view(spark, sf_dir, "raw_jobs")), "spellings")
+
+
+def _register(spelled):
     """A made-up register: some names found, some found twice, some not, some never searched."""
-    names = view(spark, sf_dir, "raw_jobs").select(T.company_name(F.col("company_name")).alias("query_normalized")).distinct()
+    names = spelled.select(T.company_name(F.col("company_name")).alias("query_normalized")).distinct()
     q = F.col("query_normalized")
     row = lambda n, t: F.struct(F.lit(n).alias("company_number"), t.alias("title"))
     found = (
@@ -197,21 +202,21 @@ def company_normalize(spark, sf_dir):
 
 @_query(f"{_REGISTER} SELECT experience_id, number AS matched_company_number, searched FROM st", "raw_jobs")
 def company_match(spark, sf_dir):
-    rows = company.matches(view(spark, sf_dir, "raw_jobs"), _register(spark, sf_dir))
+    rows = company.matches(view(spark, sf_dir, "raw_jobs"), _register(_spelled(spark, sf_dir)))
     return rows.select("experience_id", "matched_company_number", "searched")
 
 
 @_query(f"{_REGISTER} SELECT status, count(*) AS n FROM st GROUP BY ALL", "raw_jobs")
 def company_status(spark, sf_dir):
-    rows = company.statuses(company.matches(view(spark, sf_dir, "raw_jobs"), _register(spark, sf_dir)))
-    return rows.groupBy("status").agg(F.count("*").alias("n"))
+    spelled = _spelled(spark, sf_dir)
+    return company.status_counts(spelled, _register(spelled))
 
 
 @_query(f"{_REGISTER} SELECT experience_id, status FROM st WHERE searched AND experience_id NOT LIKE '%_job2'", "raw_jobs")
 def company_incremental(spark, sf_dir):
     roles = view(spark, sf_dir, "raw_jobs")
     done = roles.where("experience_id LIKE '%_job2'").select("experience_id")
-    return company.verify(roles, done, _register(spark, sf_dir))[0].select("experience_id", "status")
+    return company.verify(roles, done, _register(_spelled(spark, sf_dir)))[0].select("experience_id", "status")
 
 
 # ---- silver ----------------------------------------------------------------------
